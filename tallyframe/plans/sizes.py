@@ -1,0 +1,26 @@
+"""Broadcasting only what is known to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+DEFAULT_LIMIT = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df``; it never runs a job.
+
+    For a scan it is the size of the files less pruned columns; for a join it
+    is the product of both sides, so an unknown size comes out too large
+    rather than too small.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
+    """Hint a broadcast when the estimate is within the limit, else return ``df`` as is.
+
+    Without the hint Spark falls back to a sort-merge or shuffled hash join,
+    where adaptive execution can still split skewed keys.
+    """
+    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
