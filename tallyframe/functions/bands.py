@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 # Salary limits and band names, lowest first.
 SALARY_LIMITS = (30000, 70000)
@@ -38,7 +38,7 @@ def member_class(
     return F.lit(other) if out is None else out.otherwise(F.lit(other))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def band_in_pandas(value: pd.Series) -> pd.Series:
     """Salary band as a pandas UDF.
 

@@ -50,17 +50,20 @@ def _with_offsets(laid: DataFrame, amount: Column) -> DataFrame:
     return laid.join(F.broadcast(offsets), _RANGE)
 
 
-def number_rows(df: DataFrame, *order: str, into: str = "row_num", start: int = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, *order: str, into: str = "row_num", start: int | Column = 1
+) -> DataFrame:
     """Gap-free numbers in the order of ``order``, starting at ``start``.
 
     ``order`` must identify a row for the numbers to be repeatable. One shuffle
     and one write; no window over the rows themselves.
     """
+    first = start if isinstance(start, Column) else F.lit(start)
     laid = _laid_out(df, order)
     place = F.col(_POSITION) - F.shiftleft(F.col(_RANGE), _RANGE_BITS)
     return (
         _with_offsets(laid, F.count(F.lit(1)))
-        .withColumn(into, (F.col(_OFFSET) + place + F.lit(start)).cast("bigint"))
+        .withColumn(into, (F.col(_OFFSET) + place + first).cast("bigint"))
         .drop(_POSITION, _RANGE, _OFFSET)
     )
 

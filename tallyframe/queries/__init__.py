@@ -1,6 +1,6 @@
 """Named queries; importing the modules registers them."""
 
-from tallyframe.queries import retail  # noqa: F401
+from tallyframe.queries import expressions, people, profile, retail, selection  # noqa: F401
 from tallyframe.queries.registry import REGISTRY, Tables
 
 __all__ = ["REGISTRY", "Tables"]
