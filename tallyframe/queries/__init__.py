@@ -1,6 +1,8 @@
 """Named queries; importing the modules registers them."""
 
-from tallyframe.queries import expressions, people, profile, retail, selection  # noqa: F401
+from tallyframe.queries import (  # noqa: F401
+    alerting, expressions, modelling, people, profile, retail, selection,
+)
 from tallyframe.queries.registry import REGISTRY, Tables
 
 __all__ = ["REGISTRY", "Tables"]
