@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -21,6 +22,19 @@ def total(value: Column) -> Column:
     return F.sum(value).cast("decimal(38,2)")
 
 
+def cents(value: Column) -> Column:
+    """An amount with two decimals as whole cents.
+
+    Long arithmetic instead of decimal objects, for sums over every line of a
+    fact table. A sum past 9.2e18 cents is an error, not a wrong figure.
+    """
+    return F.rint(value.cast("double") * 100).cast("bigint")
+
+
+def from_cents(value: Column) -> Column:
+    return (value.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(38,2)")
+
+
 def percent_of(part: Column, whole: Column) -> Column:
     """Share in percent, two places, half up."""
     return F.round(part * 100.0 / whole, 2)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.numbers import money, total
+from tallyframe.functions.numbers import cents, from_cents, money, total
 
 
 def paid_more_than(staff: DataFrame, salary: float) -> DataFrame:
@@ -50,9 +50,13 @@ def staff_sales(staff: DataFrame, sales: DataFrame) -> DataFrame:
     return matched.drop(F.col("t.employee_id"))
 
 
+def _sold() -> Column:
+    return from_cents(F.sum(cents(F.col("amount"))))
+
+
 def seller_totals(sales: DataFrame) -> DataFrame:
     """Sales per seller; joined to staff afterwards, one row per seller."""
-    return sales.groupBy("employee_id").agg(total(F.col("amount")).alias("total_sales"))
+    return sales.groupBy("employee_id").agg(_sold().alias("total_sales"))
 
 
 def sales_by(staff: DataFrame, sales: DataFrame, *keys: str) -> DataFrame:
@@ -70,7 +74,7 @@ def product_totals(sales: DataFrame, products: Sequence[str] | None = None) -> D
     """Amount and rows per product, optionally only of listed products."""
     rows = sales if products is None else sales.filter(F.col("product").isin(list(products)))
     return rows.groupBy("product").agg(
-        total(F.col("amount")).alias("total"), F.count(F.lit(1)).alias("n")
+        _sold().alias("total"), F.count(F.lit(1)).alias("n")
     )
 
 

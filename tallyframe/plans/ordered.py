@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.plans.lineage import materialize
+from tallyframe.plans.sizes import broadcast_if_small
 
 _POSITION = "__position"
 _RANGE = "__range"
@@ -81,35 +82,78 @@ def running_total(df: DataFrame, amount: str, *order: str, into: str = "running"
     )
 
 
-def exact_median(df: DataFrame, value: str, *groups: str, into: str = "median") -> DataFrame:
+def exact_median(
+    df: DataFrame, value: str, *groups: str, into: str = "median", accuracy: int = 10_000
+) -> DataFrame:
     """Exact median of ``value`` per group; the mean of the two middle values if even.
 
-    Rows are first counted per (group, value), so a repeated value or a group
-    holding most of the rows becomes few rows before anything is ordered. The
-    running count over all groups then gives every value its rank, and only the
-    one or two values whose ranks span the middle survive the filter.
+    A sketch per group first gives two values that enclose the median. A second
+    pass counts what lies below them and keeps, counted, only the values
+    between: a thousandth of the rows, fewer if values repeat. Their running
+    count finds the middle. Both passes combine map-side, so a group with most
+    of the rows is never in one task. Should a sketch miss its median, that
+    group is ordered in full.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
+    rows = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("__v"))
     if not groups:
-        counted = counted.withColumn("__all", F.lit(1))
+        rows = rows.withColumn("__all", F.lit("all"))
     keys = list(groups) or ["__all"]
-    ranked = running_total(counted, "__n", *keys, value, into="__upto")
-    # Renamed keys: both sides of the join below come from ``ranked``.
-    spans = ranked.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys]).agg(
-        F.max("__upto").alias("__end"), F.sum("__n").alias("__size")
+    margin = 5.0 / accuracy
+    sketch = F.percentile_approx("__v", [0.5 - margin, 0.5 + margin], accuracy)
+    groups_seen = materialize(
+        rows.groupBy(*[F.col(k).alias(f"__of_{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("__size"), sketch.alias("__near"))
+        .withColumns({"__from": F.col("__near")[0], "__to": F.col("__near")[1]})
+        .drop("__near")
+    )
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+    near = (
+        rows.join(broadcast_if_small(groups_seen), same)
+        .filter(F.col("__v") <= F.col("__to"))
+        # Everything below the enclosure shares one NULL, which sorts first.
+        .withColumn("__v", F.when(F.col("__v") >= F.col("__from"), F.col("__v")))
+    )
+    found = materialize(_middle(near.select(*keys, "__v"), groups_seen, keys, same))
+    missed = groups_seen.join(
+        found.filter(F.col("__mid").isNotNull()), same, "left_anti"
+    )
+    if not missed.isEmpty():
+        whole = rows.join(missed.select(*[f"__of_{k}" for k in keys]), same, "left_semi")
+        found = found.join(missed, same, "left_anti").union(
+            _middle(whole, missed, keys, same)
+        )
+    return found.select(*groups, F.col("__mid").alias(into))
+
+
+def _middle(rows: DataFrame, sizes: DataFrame, keys: list[str], same: Column) -> DataFrame:
+    """Mean of the middle values per group; NULL unless the rows given reach them.
+
+    ``rows`` are counted per (group, value) before they are ordered; ``sizes``
+    has each group's full row count, of which values above the middle may be
+    left out of ``rows``.
+    """
+    counted = rows.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    ranked = running_total(counted, "__n", *keys, "__v", into="__upto")
+    starts = ranked.groupBy(*[F.col(k).alias(f"__at_{k}") for k in keys]).agg(
+        F.min(F.col("__upto") - F.col("__n")).alias("__before")
     )
-    condition = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
-    before = F.col("__end") - F.col("__size")
+    here = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys])
     low = F.floor((F.col("__size") + 1) / 2)
     high = F.floor(F.col("__size") / 2) + 1
-    upto = F.col("__upto") - before
+    upto = F.col("__upto") - F.col("__before")
     first = upto - F.col("__n") + 1
     middle = (
-        ranked.join(spans, condition)
+        ranked.join(broadcast_if_small(starts), here)
+        .join(broadcast_if_small(sizes), same)
         .filter((first <= high) & (upto >= low))
-        .select(*keys, F.col(value).cast("double").alias("__v"))
+        .select(
+            *keys,
+            F.col("__v").cast("double").alias("__v"),
+            F.col("__v").isNull().alias("__outside"),
+            (upto >= high).alias("__reaches"),
+        )
     )
-    # Middle values are one or two distinct values per group, each counted once.
-    return middle.groupBy(*keys).agg(F.avg("__v").alias(into)).select(*groups, into)
+    # One or two distinct values per group. An enclosed median shows no NULL
+    # and reaches the upper middle rank.
+    enclosed = ~F.max("__outside") & F.max("__reaches")
+    return middle.groupBy(*keys).agg(F.when(enclosed, F.avg("__v")).alias("__mid"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions.bands import band, member_class
-from tallyframe.functions.numbers import money
+from tallyframe.functions.numbers import cents, from_cents, money
 from tallyframe.operators import staff
 from tallyframe.queries.registry import Tables, query
 
@@ -81,7 +81,8 @@ def top_seller(t: Tables):
            CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount
     FROM supplier s JOIN lineitem l ON s.s_suppkey = l.l_suppkey""")
 def join_drop_key(t: Tables):
-    return staff.staff_sales(t.staff.select("employee_id", "name"), t.staff_sold)
+    sold = t.staff_sold.withColumn("amount", money(F.col("amount")))
+    return staff.staff_sales(t.staff.select("employee_id", "name"), sold)
 
 
 @query("q_product_totals", """
@@ -106,14 +107,14 @@ PREMIUM_TYPES = ("ECONOMY", "PROMO", "STANDARD")
 def premium_products(t: Tables):
     """The list cuts the part table before the join; lines are summed per part first."""
     per_part = t.lineitem.groupBy("l_partkey").agg(
-        F.sum(money(F.col("l_extendedprice"))).alias("total"), F.count(F.lit(1)).alias("n")
+        F.sum(cents(F.col("l_extendedprice"))).alias("cents"), F.count(F.lit(1)).alias("n")
     )
     listed = t.part.filter(F.col("p_type").isin(*PREMIUM_TYPES)).select("p_partkey", "p_type")
     return (
         per_part.join(listed, per_part.l_partkey == listed.p_partkey)
         .groupBy(F.col("p_type").alias("product"))
         .agg(
-            F.sum("total").cast("decimal(38,2)").alias("total"),
+            from_cents(F.sum("cents")).alias("total"),
             F.sum("n").cast("bigint").alias("n"),
         )
     )

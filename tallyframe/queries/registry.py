@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyframe.functions.numbers import money
+from tallyframe.functions.numbers import cents, from_cents, money
 
 
 @dataclass(frozen=True)
@@ -49,19 +49,20 @@ class Tables:
 
     @cached_property
     def part_sales(self) -> DataFrame:
-        """Sold lines with product, category, price and revenue; the part table joined in."""
+        """Sold lines with product, category, price and revenue in cents."""
         sold = self.lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product"),
-            F.col("l_quantity").cast("decimal(10,0)").alias("quantity"),
+            F.col("l_quantity").cast("bigint").alias("quantity"),
         )
         parts = self.part.select(
             F.col("p_partkey").alias("product"),
             F.col("p_type").alias("category"),
             money(F.col("p_retailprice")).alias("price"),
+            cents(F.col("p_retailprice")).alias("price_cents"),
         )
         joined = sold.join(parts, "product")
-        return joined.withColumn("revenue", money(F.col("price") * F.col("quantity")))
+        return joined.withColumn("cents", F.col("price_cents") * F.col("quantity"))
 
     @cached_property
     def order_heads(self) -> DataFrame:
@@ -73,8 +74,9 @@ class Tables:
 
     @cached_property
     def sales(self) -> DataFrame:
-        """Sold lines with their order's customer and date."""
-        return self.part_sales.join(self.order_heads, "order_id")
+        """Sold lines with revenue, their order's customer and date."""
+        lines = self.part_sales.withColumn("revenue", money(from_cents(F.col("cents"))))
+        return lines.join(self.order_heads, "order_id")
 
     @cached_property
     def order_sales(self) -> DataFrame:
@@ -85,7 +87,7 @@ class Tables:
         shuffle on the customer after it, carry a fraction of the rows.
         """
         per_order = self.part_sales.groupBy("order_id").agg(
-            F.sum("revenue").cast("decimal(38,2)").alias("revenue"),
+            from_cents(F.sum("cents")).alias("revenue"),
             F.count(F.lit(1)).alias("line_count"),
         )
         return per_order.join(self.order_heads, "order_id")
@@ -116,7 +118,7 @@ class Tables:
         return self.lineitem.select(
             F.col("l_suppkey").alias("employee_id"),
             F.col("l_partkey").alias("product"),
-            money(F.col("l_extendedprice")).alias("amount"),
+            F.col("l_extendedprice").alias("amount"),
         )
 
     @cached_property

@@ -28,8 +28,9 @@ def project(t: Tables):
                 AS DECIMAL(18,2)) AS revenue
     FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 def revenue_lines(t: Tables):
-    return insights.add_revenue(t.part_sales.drop("revenue")).select(
-        "order_id", "product", "quantity", "revenue"
+    lines = insights.add_revenue(t.part_sales)
+    return lines.select(
+        "order_id", "product", F.col("quantity").cast("decimal(10,0)").alias("quantity"), "revenue"
     )
 
 
@@ -156,7 +157,7 @@ def distinct_products_list(t: Tables):
 def _category_base(t: Tables):
     """Quantity per product first, then price and category: one joined row per product."""
     sold = t.lineitem.groupBy(F.col("l_partkey").alias("product")).agg(
-        F.sum(F.col("l_quantity").cast("decimal(10,0)")).alias("quantity")
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity")
     )
     parts = t.part.select(
         F.col("p_partkey").alias("product"),
@@ -262,7 +263,7 @@ def sql_best_spender(t: Tables):
 def top_product(t: Tables):
     sold = t.lineitem.select(
         F.col("l_partkey").alias("product"),
-        F.col("l_quantity").cast("decimal(10,0)").alias("quantity"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
     )
     return insights.top_products(sold, 1)
 

@@ -105,3 +105,16 @@ def test_split_is_exact_per_class_and_repeats(spark):
     assert {(r.id, r.is_test) for r in first} == {(r.id, r.is_test) for r in again}
     other = stratified_split(df, "id", "y", seed=7).collect()
     assert {(r.id, r.is_test) for r in first} != {(r.id, r.is_test) for r in other}
+
+
+def test_median_when_the_sketch_misses(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [("g", float(rng.randint(0, 10**6))) for _ in range(801)]
+    rows += [("h", float(rng.randint(0, 10**6))) for _ in range(600)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    real = F.percentile_approx
+    for off in ([0.8, 0.9], [0.1, 0.2], [0.5001, 0.5002]):
+        monkeypatch.setattr(F, "percentile_approx", lambda c, _, a, off=off: real(c, off, a))
+        got = {r.g: r.median for r in exact_median(df, "v", "g").collect()}
+        want = {k: statistics.median(v for g, v in rows if g == k) for k in "gh"}
+        assert got == want
