@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
+from tallyframe.plans.hold import held
 from tallyframe.plans.ordered import number_rows
 from tallyframe.plans.sizes import broadcast_if_small
 
@@ -43,32 +44,40 @@ def stratified_split(
     )
 
 
-def common_levels(df: DataFrame, column: str, min_share: str = "0.01") -> DataFrame:
-    """Levels holding at least the share of rows: at most 1 / share of them."""
+def common_levels(
+    df: DataFrame, columns: Sequence[str], min_share: str = "0.01"
+) -> dict[str, list[str]]:
+    """Per text column the levels holding at least the share of rows.
+
+    One pass for all columns. At most 1 / share levels per column come back,
+    whatever the data, so the lists are small enough to be literals.
+    """
+    if not columns:
+        return {}
     rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    common = (F.col("n") >= rows * F.lit(Decimal(min_share))) & F.col(column).isNotNull()
-    return counted.filter(common).select(column)
+    common = (
+        df.select(*columns)
+        .unpivot([], list(columns), "column", "level")
+        .filter(F.col("level").isNotNull())
+        .groupBy("column", "level")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= rows * F.lit(Decimal(min_share)))
+    )
+    out: dict[str, list[str]] = {column: [] for column in columns}
+    for row in common.orderBy("column", "level").collect():
+        out[row["column"]].append(row["level"])
+    return out
 
 
-def group_rare_levels(
-    train: DataFrame, other: DataFrame, columns: Sequence[str], min_share: str = "0.01"
-) -> tuple[DataFrame, DataFrame]:
-    """Replace levels rare in ``train`` by one name in both frames.
+def group_rare_levels(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Every level outside the given lists, missing included, under one name.
 
-    A level ``other`` alone has is rare too. Missing is its own rare case.
+    With lists taken from the training rows, a level only later rows have is
+    rare too.
     """
-    for column in columns:
-        # At most 1 / min_share rows, whatever the data: safe to broadcast.
-        levels = common_levels(train, column, min_share).withColumnRenamed(column, "__level")
-
-        def recode(frame: DataFrame) -> DataFrame:
-            found = frame.join(F.broadcast(levels), F.col(column) == F.col("__level"), "left")
-            kept = F.coalesce(F.col("__level"), F.lit(RARE))
-            return found.withColumn(column, kept).drop("__level")
-
-        train, other = recode(train), recode(other)
-    return train, other
+    return df.withColumns(
+        {c: F.when(F.col(c).isin(list(known)), F.col(c)).otherwise(RARE) for c, known in levels.items()}
+    )
 
 
 def balanced_weights(df: DataFrame, label: str, into: str = "weight") -> DataFrame:
@@ -151,9 +160,12 @@ def fit_drivers(
         *[F.col(c).cast("double").alias(c) for c in numbers],
     )
     split = stratified_split(rows, key, "label", seed=seed)
-    train, test = group_rare_levels(split.filter(~F.col("is_test")), split.filter("is_test"), text)
-    train = balanced_weights(train, "label")
-    model = _pipeline(text, numbers, trees, depth, seed).fit(train)
-    scored = model.transform(test.withColumn("weight", F.lit(1.0)))
+    levels = common_levels(split.filter(~F.col("is_test")), text)
+    coded = group_rare_levels(split, levels)
+    train = balanced_weights(coded.filter(~F.col("is_test")), "label")
+    # Indexers, imputer and forest each pass over the training rows.
+    with held(train) as kept:
+        model = _pipeline(text, numbers, trees, depth, seed).fit(kept)
+    scored = model.transform(coded.filter("is_test").withColumn("weight", F.lit(1.0)))
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(scored)
     return FittedModel(model, auc, named_importances(model, scored, top))

@@ -44,6 +44,9 @@ class PopulationRules:
     min_age: int = 20
     lookback_months: int = 12
     require_contact: bool = True
+    # Columns that tie a member row to its eligibility line; the trace alone
+    # where it is unique over cases.
+    line_keys: Sequence[str] = ("case_id", "trace_id")
     # Further condition on a base line, over eligibility and member columns.
     base_filter: Column | None = None
     # Flag name -> condition over eligibility columns; 'Y' if any of a member's lines meets it.
@@ -130,7 +133,7 @@ def _member_lines(tables: PopulationTables, rules: PopulationRules) -> DataFrame
         .withColumns({name: F.coalesce(mark, F.lit(False)) for name, mark in marks.items()})
     )
     targeted = tables.member_eligibility.filter(F.col("target_sw") == "Y")
-    joined = lines.join(targeted, ["case_id", "trace_id"])
+    joined = lines.join(targeted, list(rules.line_keys))
     if rules.base_filter is not None:
         joined = joined.withColumn("is_base", F.col("is_base") & rules.base_filter)
     return joined

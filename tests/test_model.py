@@ -31,10 +31,12 @@ def test_fit(rows):
 
 
 def test_rare_levels_share_a_name(rows):
-    train, other = model.group_rare_levels(
-        rows, rows.limit(1).withColumn("kind", F.lit("unseen")), ["kind"])
+    levels = model.common_levels(rows, ["kind"])
+    assert levels == {"kind": ["a", "b"]}
+    train = model.group_rare_levels(rows, levels)
     assert {r.kind for r in train.select("kind").distinct().collect()} == {"a", "b", model.RARE}
-    assert other.first().kind == model.RARE
+    later = rows.limit(2).withColumn("kind", F.when(F.col("id") > 0, "unseen"))
+    assert {r.kind for r in model.group_rare_levels(later, levels).collect()} == {model.RARE}
     assert train.count() == 1500
 
 
