@@ -165,7 +165,10 @@ def fit_drivers(
     train = balanced_weights(coded.filter(~F.col("is_test")), "label")
     # Indexers, imputer and forest each pass over the training rows.
     with held(train) as kept:
-        model = _pipeline(text, numbers, trees, depth, seed).fit(kept)
+        fitted = _pipeline(text, numbers, trees, depth, seed).fit(kept)
+    # The copy leaves the training summary behind. It holds the session, which
+    # cannot be sent to executors once the session has observed a query.
+    model = fitted.copy()
     scored = model.transform(coded.filter("is_test").withColumn("weight", F.lit(1.0)))
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(scored)
     return FittedModel(model, auc, named_importances(model, scored, top))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import model
+from tallyframe.operators import campaign, model
 
 
 @pytest.fixture(scope="module")
@@ -43,3 +43,10 @@ def test_rare_levels_share_a_name(rows):
 def test_weights_balance_the_classes(rows):
     sums = model.balanced_weights(rows, "y").groupBy("y").agg(F.sum("weight").alias("w")).collect()
     assert [r.w for r in sums] == [pytest.approx(750.0)] * 2
+
+
+def test_fit_in_a_session_that_has_observed_a_query(spark, rows):
+    counted, seen = campaign.counted(spark.range(5), "before the fit")
+    counted.collect()
+    assert seen.get["rows"] == 5
+    assert model.fit_drivers(rows, "id", "y", [], ["age"], trees=3).auc > 0.5
