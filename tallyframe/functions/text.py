@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# First signed decimal number in a text; trailing digits of a code.
+# First signed decimal number in a text; trailing digits of a code;
+# characters that count as blank.
 NUMBER_PATTERN = r"([-+]?\d*\.?\d+)"
 CODE_PATTERN = r"^(.*?)(\d+)$"
+BLANKS = " \t\n\x0b\f\r"
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space at both ends; NULL stays NULL."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -55,16 +55,16 @@ def pick_batch(contacts: DataFrame, runs: int = 5, flag: str = "triggered") -> D
     would get, all of them are picked; so with fewer cases than runs the first
     run takes everything. Cases are taken in key order.
     """
-    per_case = contacts.groupBy("case_id").agg(F.max(untriggered(flag)).alias("waiting"))
-    counts = per_case.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count(F.when(F.col("waiting"), 1)).alias("remaining"),
+    per_case = contacts.groupBy("case_id").agg((~F.max(untriggered(flag))).alias("done"))
+    # Waiting cases come first, so the numbering serves the counts and the cut.
+    numbered = number_rows(per_case, "done", "case_id", into="rn")
+    counts = numbered.agg(
+        F.count(F.lit(1)).alias("total"), F.count(F.when(~F.col("done"), 1)).alias("remaining")
     )
     share = F.floor(F.col("total") / F.lit(runs)).cast("bigint")
     last = F.col("remaining") <= F.col("total") - (runs - 1) * share
     pick = counts.select(F.when(last, F.col("remaining")).otherwise(share).alias("pick"))
-    numbered = number_rows(per_case.filter("waiting").select("case_id"), "case_id", into="rn")
-    return numbered.filter(F.col("rn") <= pick.scalar()).select("case_id")
+    return numbered.filter(~F.col("done") & (F.col("rn") <= pick.scalar())).select("case_id")
 
 
 # --- templates -------------------------------------------------------------
