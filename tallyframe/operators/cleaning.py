@@ -104,12 +104,13 @@ def clean_claims(
 ) -> DataFrame:
     """One row per policy with its car and claim, cleaned.
 
-    Names tidied, text trimmed (missing stays missing), twins dropped, a
-    ``*_num`` column for each measured text, flags recoded to 0/1. Columns a
-    sheet does not have are skipped.
+    Names tidied, text trimmed (missing stays missing), a ``*_num`` column for
+    each measured text, flags recoded to 0/1. Columns a sheet does not have are
+    skipped. Twins are dropped in each sheet before the join: the rows are the
+    same, and a row repeated in two sheets does not first multiply.
     """
-    merged = tidy_names(policy).join(tidy_names(car), key).join(tidy_names(claim), key)
-    rows = strip_text(merged).dropDuplicates()
+    sheets = [strip_text(tidy_names(sheet)).dropDuplicates() for sheet in (policy, car, claim)]
+    rows = sheets[0].join(sheets[1], key).join(sheets[2], key)
     numbers = {
         f"{name}_num": first_number(F.col(name)) for name in present_columns(rows, measured)
     }

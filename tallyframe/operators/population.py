@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.dates import add_months_eom, span_covers, within_months_before
 from tallyframe.functions.text import flag_or_no, yes_or_unset
+from tallyframe.operators.joins import left_join_many
 from tallyframe.operators.ranking import newest
 from tallyframe.plans.lineage import materialize
 from tallyframe.plans.sizes import broadcast_if_small
@@ -230,6 +231,7 @@ def contact_list(
     phone_types: DataFrame,
     identified_on: dt.date,
     as_of: dt.date,
+    hold: Callable[[DataFrame], DataFrame] = materialize,
 ) -> DataFrame:
     """Whom to call per case: its representatives, else its verified numbers, else 'NA'.
 
@@ -258,9 +260,8 @@ def contact_list(
         .select("case_id", "type_name", "rep_available", "own")
         .distinct()
     )
-    rows = numbers.join(wanted.select("case_id", "sms_pref"), "case_id").join(
-        reps, "case_id", "left"
-    )
+    callable_cases = hold(numbers.join(wanted.select("case_id", "sms_pref"), "case_id"))
+    rows = left_join_many(callable_cases, reps, "case_id")
     phone = (
         F.when(F.col("rep_available") == "Y", F.col("rep_phone"))
         .when(F.col("own").isNotNull(), F.col("own"))

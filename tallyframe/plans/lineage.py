@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """A folder of this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="tallyframe-", ignore_cleanup_errors=True)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -23,7 +30,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="tallyframe-")
+        named = _local_folder().name
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 

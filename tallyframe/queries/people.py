@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.bands import band, member_class
 from tallyframe.functions.numbers import cents, from_cents, money
 from tallyframe.operators import staff
+from tallyframe.operators.joins import left_join_many
 from tallyframe.queries.registry import Tables, query
 
 _SALARY = "CAST(s_acctbal AS DECIMAL(18,2))"
@@ -203,10 +204,11 @@ def left_lookup(t: Tables):
     SELECT c.c_custkey, o.o_orderkey
     FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'P'""")
 def left_on_filter(t: Tables):
-    """Every customer stays; the right side is filtered before the join."""
-    pending = t.orders.filter(F.col("o_orderstatus") == "P").select("o_custkey", "o_orderkey")
-    joined = t.customer.join(pending, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return joined.select("c_custkey", "o_orderkey")
+    """Every customer stays; orders are filtered before the join, and many may share a customer."""
+    pending = t.orders.filter(F.col("o_orderstatus") == "P").select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey"
+    )
+    return left_join_many(t.customer.select("c_custkey"), pending, "c_custkey")
 
 
 @query("q_semi_verified", """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.numbers import as_flag
 from tallyframe.operators import profiling
+from tallyframe.operators.cleaning import clean_claims
 from tallyframe.queries.registry import Tables, query
 
 
@@ -78,3 +79,28 @@ def recode(t: Tables):
     return t.part.select(
         "p_partkey", as_flag(F.col("p_type"), ("ECONOMY", "PROMO"), ("STANDARD",)).alias("flag")
     )
+
+
+@query("q_claims_clean", r"""
+    SELECT d.doc_id AS policy_id, d.lang, NULLIF(d.source, 'src0') AS source,
+           d.n_chars || 'Nm@' || d.doc_id || 'rpm' AS max_torque,
+           CAST(d.n_chars AS DOUBLE) AS max_torque_num,
+           CAST(l.toxic AS DOUBLE) AS is_toxic, CAST(l.quality AS DOUBLE) AS is_claim
+    FROM documents d JOIN labels l ON l.doc_id = d.doc_id""")
+def claims_clean(t: Tables):
+    """Documents and labels as three untidy sheets: padded, repeated, measures and flags in text."""
+    policy = t.documents.select(
+        F.col("doc_id").alias("Policy ID"),
+        F.concat(F.lit(" "), "lang", F.lit("\t")).alias("lang"),
+        F.when(F.col("source") == "src0", "  ").otherwise(F.col("source")).alias(" Source "),
+    )
+    car = t.documents.select(
+        F.col("doc_id").alias("policy_id"),
+        F.concat("n_chars", F.lit("Nm@"), "doc_id", F.lit("rpm")).alias("Max Torque"),
+    )
+    claim = t.labels.select(
+        F.col("doc_id").alias("policy_id"),
+        F.when(F.col("toxic") == 1, "Yes").otherwise("No").alias("is_toxic"),
+        F.col("quality").alias("is_claim"),
+    )
+    return clean_claims(policy.union(policy), car, claim)
