@@ -32,7 +32,7 @@ def window_means(samples: DataFrame, key: str, width: str, places: int = 6) -> D
     return (
         samples.groupBy(F.window("ts", width), key)
         .agg(
-            F.round(F.avg("value"), places).alias("mean"), F.count(F.lit(1)).alias("samples")
+            F.round(F.avg("value").cast("double"), places).alias("mean"), F.count(F.lit(1)).alias("samples")
         )
         .select(F.col("window.start").alias("start"), key, "mean", "samples")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions.numbers import money
 from tallyframe.operators import alerts
 from tallyframe.queries.registry import Tables, query
 
@@ -39,11 +40,13 @@ def alert_cool_down(t: Tables):
 
 
 @query("q_sample_window", """
-    SELECT DATE_TRUNC('hour', ts) AS start, event_type, ROUND(AVG(value), 6) AS mean,
-           COUNT(*) AS samples
+    SELECT DATE_TRUNC('hour', ts) AS start, event_type,
+           ROUND(AVG(CAST(value AS DECIMAL(18,2))), 6) AS mean, COUNT(*) AS samples
     FROM events GROUP BY DATE_TRUNC('hour', ts), event_type""")
 def sample_window(t: Tables):
-    return alerts.window_means(t.events, "event_type", "1 hour")
+    """Values in exact hundredths, so a mean does not depend on the order they are added in."""
+    samples = t.events.select("ts", "event_type", money(F.col("value")).alias("value"))
+    return alerts.window_means(samples, "event_type", "1 hour")
 
 
 @query("q_last20", """
