@@ -239,7 +239,9 @@ def requested_cases(
     """
     rows = requests.filter(F.col("created_by") == created_by)
     if since is not None:
-        rows = rows.filter(F.col("created_at") >= F.lit(since))
+        # Written as text: a Python time would pass through the machine's own time zone.
+        kind = dict(requests.dtypes)["created_at"]
+        rows = rows.filter(F.col("created_at") >= F.lit(str(since)).cast(kind))
     text = F.col(column)
     if split_lists:
         text = F.explode(F.split(text, ","))

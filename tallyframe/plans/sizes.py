@@ -23,4 +23,6 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataF
     Without the hint Spark falls back to a sort-merge or shuffled hash join,
     where adaptive execution can still split skewed keys.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
+    # A remote client has no plan at hand to ask; Spark's own threshold decides there.
+    known = hasattr(df, "_jdf")
+    return F.broadcast(df) if known and estimated_bytes(df) <= limit_bytes else df

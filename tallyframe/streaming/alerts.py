@@ -51,6 +51,11 @@ def _fired_type(samples: DataFrame, key: str) -> T.StructType:
     return T.StructType([samples.schema[c] for c in (key, "event_id", "ts", "value")])
 
 
+def _micros(ts: pd.Series) -> pd.Series:
+    """Times as whole microseconds: what the state stores, free of time zones."""
+    return ts.astype("datetime64[us]").astype("int64")
+
+
 class _First(StatefulProcessor):
     """Fires a series once, at its earliest crossing in the first trigger that has one."""
 
@@ -85,22 +90,22 @@ class _CoolDown(StatefulProcessor):
 
     def __init__(self, key: str, seconds: int):
         self.key = key
-        self.wait = pd.Timedelta(seconds=seconds)
+        self.wait = seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "ts timestamp")
+        self.last = handle.getValueState("last", "us bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
         ordered = pd.concat(list(rows)).sort_values(["ts", "event_id"])
-        last = pd.Timestamp(self.last.get()[0]) if self.last.exists() else None
+        last = self.last.get()[0] if self.last.exists() else None
         kept = []
-        for place, ts in enumerate(ordered["ts"]):
+        for place, us in enumerate(_micros(ordered["ts"])):
             # A late sample from before the last fire is within its quiet period.
-            if last is None or ts >= last + self.wait:
+            if last is None or us >= last + self.wait:
                 kept.append(place)
-                last = ts
+                last = us
         if kept:
-            self.last.update((last.to_pydatetime(),))
+            self.last.update((int(last),))
             yield ordered.iloc[kept][[self.key, "event_id", "ts", "value"]]
 
     def close(self) -> None:
@@ -123,21 +128,17 @@ class _LastPoints(StatefulProcessor):
         self.points = points
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", "event_id bigint, ts timestamp, value double")
+        self.kept = handle.getListState("kept", "event_id bigint, us bigint, value double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
-        best = pd.DataFrame(list(self.kept.get()), columns=["event_id", "ts", "value"])
+        best = pd.DataFrame(list(self.kept.get()), columns=["event_id", "us", "value"])
         for batch in rows:
-            new = batch[["event_id", "ts", "value"]]
+            new = batch[["event_id", "value"]].assign(us=_micros(batch["ts"]))
             both = new if best.empty else pd.concat([best, new])
-            best = both.sort_values(["ts", "event_id"], ascending=False).head(self.points)
-        self.kept.put(
-            [
-                (int(i), pd.Timestamp(ts).to_pydatetime(), float(v))
-                for i, ts, v in best.itertuples(index=False)
-            ]
-        )
-        out = best.copy()
+            best = both.sort_values(["us", "event_id"], ascending=False).head(self.points)
+        self.kept.put([(int(i), int(us), float(v)) for i, us, v in
+                       best[["event_id", "us", "value"]].itertuples(index=False)])
+        out = best.assign(ts=best["us"].astype("datetime64[us]"))
         out[self.key] = key[0]
         yield out[[self.key, "event_id", "ts", "value"]]
 

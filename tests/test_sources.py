@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyframe import schemas
 from tallyframe.operators.insights import run_sql
-from tallyframe.plans.inspect import describe_shape
+from tallyframe.plans.inspect import describe_shape, plan_text
 from tallyframe.sources import catalog, files
 
 ROWS = [(1, 1, "Pen", "Office", 2, 1.5, dt.date(2023, 1, 12)),
@@ -125,3 +125,20 @@ def test_shape(orders):
     shape = describe_shape(orders, 1)
     assert shape["rows"] == 2 and len(shape["sample"]) == 1
     assert shape["columns"][0] == ("order_id", "int")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("bucket_lines", "bucket_heads"):
+        catalog.drop_if_present(spark, name)
+    lines = spark.range(400).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    catalog.save_table(lines, "bucket_lines", bucket_by=(4, ["k"]))
+    catalog.save_table(lines.select("k").distinct(), "bucket_heads", bucket_by=(4, ["k"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = spark.table("bucket_lines").join(spark.table("bucket_heads"), "k")
+        totals = joined.groupBy("k").agg(F.sum("v"))
+        assert "Exchange" not in plan_text(totals) and totals.count() == 50
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("bucket_lines", "bucket_heads"):
+        catalog.drop_if_present(spark, name)
