@@ -94,12 +94,19 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """Customers with their nation's name as country."""
-        nations = self.nation.select(
-            F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country")
+        """Customers with their nation's key as country; see :meth:`name_countries`."""
+        return self.customer.select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.col("c_nationkey").alias("country"),
         )
-        return self.customer.join(nations, "c_nationkey").select(
-            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), "country"
+
+    def name_countries(self, report: DataFrame) -> DataFrame:
+        """A finished report with nation names for keys: few rows to look up, short group keys."""
+        names = self.nation.select(F.col("n_nationkey").alias("country"), "n_name")
+        named = report.join(names, "country")
+        return named.select(
+            *[F.col("n_name").alias(c) if c == "country" else F.col(c) for c in report.columns]
         )
 
     @cached_property

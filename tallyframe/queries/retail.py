@@ -127,7 +127,7 @@ def dup_report(t: Tables):
     SELECT n.n_name AS country, COUNT(*) AS n
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
 def count_by_country(t: Tables):
-    return insights.rows_per(t.customers, "country")
+    return t.name_countries(insights.rows_per(t.customers, "country"))
 
 
 @query("q_count_by_size", "SELECT p_size, COUNT(*) AS n FROM part GROUP BY p_size ORDER BY p_size")
@@ -194,7 +194,7 @@ def sql_category(t: Tables):
     SELECT country, CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_revenue
     FROM lines GROUP BY country""")
 def revenue_by_country(t: Tables):
-    return insights.revenue_by_country(t.order_sales, t.customers)
+    return t.name_countries(insights.revenue_by_country(t.order_sales, t.customers))
 
 
 @query("q_broadcast_revenue", f"""
@@ -202,7 +202,7 @@ def revenue_by_country(t: Tables):
     SELECT country, CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_revenue
     FROM lines GROUP BY country""")
 def broadcast_revenue(t: Tables):
-    return insights.revenue_by_country_broadcast(t.order_sales, t.customers)
+    return t.name_countries(insights.revenue_by_country_broadcast(t.order_sales, t.customers))
 
 
 @query("q_avg_order_value", f"""
@@ -210,14 +210,14 @@ def broadcast_revenue(t: Tables):
     SELECT country, ROUND(AVG(CAST(revenue AS DOUBLE)), 4) AS avg_order_value
     FROM lines GROUP BY country""")
 def avg_order_value(t: Tables):
-    return insights.average_order_value(t.order_sales, t.customers)
+    return t.name_countries(insights.average_order_value(t.order_sales, t.customers))
 
 
 @query("q_avg_rev_per_customer", f"""
     WITH {LINES}, {CUST}
     SELECT country, ROUND(AVG(CAST(total AS DOUBLE)), 4) AS avg_rev FROM cust GROUP BY country""")
 def avg_rev_per_customer(t: Tables):
-    return insights.average_customer_revenue(t.order_sales, t.customers)
+    return t.name_countries(insights.average_customer_revenue(t.order_sales, t.customers))
 
 
 @query("q_best_customer", f"""
@@ -227,7 +227,7 @@ def avg_rev_per_customer(t: Tables):
         FROM cust) t
     WHERE rk = 1""")
 def best_customer(t: Tables):
-    return insights.best_customers(t.order_sales, t.customers, 1)
+    return t.name_countries(insights.best_customers(t.order_sales, t.customers, 1))
 
 
 @query("q_top3_customers", f"""
@@ -237,7 +237,7 @@ def best_customer(t: Tables):
         FROM cust) t
     WHERE rk <= 3""")
 def top3_customers(t: Tables):
-    return insights.best_customers(t.order_sales, t.customers, 3)
+    return t.name_countries(insights.best_customers(t.order_sales, t.customers, 3))
 
 
 @query("q_top10_customers", f"""
