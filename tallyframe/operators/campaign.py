@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from tallyframe.functions.dates import NEVER_ENDS, day_month_year
 from tallyframe.functions.text import byte_length, capped, fill_placeholders, is_over, next_code
 from tallyframe.plans.ordered import number_rows
+from tallyframe.sources.catalog import append_by_name
 
 LANGUAGES = ("en", "pt", "es")
 
@@ -28,6 +29,17 @@ def new_rows(rows: DataFrame, target: DataFrame, *keys: str) -> DataFrame:
     return rows.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def append_new(df: DataFrame, name: str, *keys: str) -> int:
+    """Append the rows whose keys the table does not hold yet; says how many.
+
+    A second run with the same rows appends nothing.
+    """
+    seen = df.sparkSession.table(name)
+    fresh, counter = counted(new_rows(df, seen, *keys), f"append to {name}")
+    append_by_name(fresh, name)
+    return counter.get["rows"]
+
+
 def once_per_tag(rows: DataFrame, target: DataFrame, tag: str, column: str = "created_by") -> DataFrame:
     """All rows if no target row carries the tag, none otherwise.
 
