@@ -5,9 +5,11 @@ A stream has ``ts`` (timestamp), ``event_id``, ``value`` and a series column.
 built-in and take streams as they are; the rules here keep state per series.
 
 State is a few values per series. Samples that cannot matter are filtered out
-before the shuffle, and the samples of one series in a trigger are read in
-batches. Bound a trigger with ``maxFilesPerTrigger`` or the source's own limit
-so that one busy series stays a small batch.
+before the shuffle. First crossing and last points work on slices of a series
+before they bring it together. The cool-down cannot be sliced, so it keeps the
+crossings of one series and trigger in a task: bound a trigger with
+``maxFilesPerTrigger`` or the source's own limit. At rest ``operators.alerts``
+has a form that spreads one series over any number of tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tallyframe.operators.alerts import COOL_DOWN, LIMIT, POINTS, every_crossing, window_means
 
 
+_SALT = "__salt"
+
+
 def read_samples(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1000
 ) -> DataFrame:
@@ -38,8 +43,10 @@ def windowed_means(samples: DataFrame, key: str, width: str, late: str) -> DataF
     return window_means(samples.withWatermark("ts", late), key, width)
 
 
-def _stateful(samples: DataFrame, key: str, processor: StatefulProcessor, out: T.StructType) -> DataFrame:
-    return samples.groupBy(key).transformWithStateInPandas(
+def _stateful(
+    samples: DataFrame, keys: list[str], processor: StatefulProcessor, out: T.StructType
+) -> DataFrame:
+    return samples.groupBy(*keys).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=out,
         outputMode="Append",
@@ -47,6 +54,21 @@ def _stateful(samples: DataFrame, key: str, processor: StatefulProcessor, out: T
     )
 
 
+def _in_two_steps(
+    samples: DataFrame, key: str, processor: StatefulProcessor, salts: int
+) -> DataFrame:
+    """The rule per slice of a series first, then over what the slices give out.
+
+    For rules where the answer over all is the answer over the slices' answers.
+    A busy series is worked on by ``salts`` tasks, and few rows go on.
+    """
+    out = _fired_type(samples, key)
+    if salts > 1:
+        salted = samples.withColumn(_SALT, F.pmod(F.xxhash64("event_id"), F.lit(salts)))
+        samples = _stateful(salted, [key, _SALT], processor, out)
+    return _stateful(samples, [key], processor, out)
+
+
 def _fired_type(samples: DataFrame, key: str) -> T.StructType:
     return T.StructType([samples.schema[c] for c in (key, "event_id", "ts", "value")])
 
@@ -79,10 +101,12 @@ class _First(StatefulProcessor):
         pass
 
 
-def first_crossing(samples: DataFrame, key: str, limit: float = LIMIT) -> DataFrame:
+def first_crossing(
+    samples: DataFrame, key: str, limit: float = LIMIT, salts: int = 8
+) -> DataFrame:
     """One alert per series, then silence."""
     hits = every_crossing(samples, limit).select(key, "event_id", "ts", "value")
-    return _stateful(hits, key, _First(key), _fired_type(hits, key))
+    return _in_two_steps(hits, key, _First(key), salts)
 
 
 class _CoolDown(StatefulProcessor):
@@ -117,7 +141,7 @@ def cool_down(
 ) -> DataFrame:
     """Crossings with at least ``seconds`` between two fires of a series."""
     hits = every_crossing(samples, limit).select(key, "event_id", "ts", "value")
-    return _stateful(hits, key, _CoolDown(key, seconds), _fired_type(hits, key))
+    return _stateful(hits, [key], _CoolDown(key, seconds), _fired_type(hits, key))
 
 
 class _LastPoints(StatefulProcessor):
@@ -146,7 +170,9 @@ class _LastPoints(StatefulProcessor):
         pass
 
 
-def last_points(samples: DataFrame, key: str, points: int = POINTS) -> DataFrame:
+def last_points(
+    samples: DataFrame, key: str, points: int = POINTS, salts: int = 8
+) -> DataFrame:
     """The latest points of each series that had samples in the trigger."""
     rows = samples.select(key, "event_id", "ts", "value")
-    return _stateful(rows, key, _LastPoints(key, points), _fired_type(rows, key))
+    return _in_two_steps(rows, key, _LastPoints(key, points), salts)

@@ -52,6 +52,13 @@ def test_first_crossing_fires_once(spark, feed, tmp_path):
     assert rows(out, "event_type", "ts") == rows(want, "event_type", "first_ts")
 
 
+def test_first_crossing_in_one_step(spark, feed, tmp_path):
+    stream = live.first_crossing(open_feed(spark, feed), "event_type", salts=1)
+    out = run(spark, stream, tmp_path, "first_plain")
+    want = alerts.first_crossing(feed[0], "event_type")
+    assert rows(out, "event_type", "ts") == rows(want, "event_type", "first_ts")
+
+
 def test_cool_down(spark, feed, tmp_path):
     stream = live.cool_down(open_feed(spark, feed), "event_type", seconds=1800)
     out = run(spark, stream, tmp_path, "cool")
@@ -62,7 +69,7 @@ def test_cool_down(spark, feed, tmp_path):
 
 
 def test_last_points_after_each_trigger(spark, feed, tmp_path):
-    stream = live.last_points(open_feed(spark, feed), "event_type", 20)
+    stream = live.last_points(open_feed(spark, feed), "event_type", 20, salts=3)
     out = run(spark, stream, tmp_path, "points")
     final = alerts.last_points(out.dropDuplicates(["event_id"]), "event_type", 20)
     want = alerts.last_points(feed[0], "event_type", 20)
