@@ -70,3 +70,64 @@ def test_five_runs(spark, tables, tmp_path):  # noqa: F811
     assert campaign.pick_batch(state).count() == 0
     for name in names:
         catalog.drop_if_present(spark, name)
+
+
+NOTICE = campaign.NoticeTemplate(
+    {"en": "Change", "pt": "Mudança", "es": "Cambio"},
+    {"en": "Reply by [DUE_DATE].\n", "pt": "Responda até [DUE_DATE].\r", "es": "Responda antes del [DUE_DATE]."},
+)
+
+
+def test_notice_run(spark, tables, tmp_path):  # noqa: F811
+    names = {"note_population": schemas.NOTICE_POPULATION, "note_info": schemas.TRIGGER_INFO,
+             "note_requests": schemas.NOTICE_REQUESTS, "note_notes": schemas.NOTES}
+    for name, schema in names.items():
+        catalog.drop_if_present(spark, name)
+        catalog.create_if_absent(spark, name, schema)
+    run = dt.datetime(2026, 10, 1, 9)
+
+    people = pop.impacted_population(tables, rules(contact=False)).select(
+        "case_id", "member_id", "assistance_cd")
+    info = people.withColumns({f"{k}_triggered": F.lit("N") for k in ("notice", "sms", "email")})
+    keys = ("case_id", "member_id")
+    for _ in range(2):
+        campaign.append_new(info, "note_info", *keys)
+        campaign.append_new(info.select(*keys, "assistance_cd", "notice_triggered"),
+                            "note_population", *keys)
+    total = people.count()
+    assert spark.table("note_info").count() == spark.table("note_population").count() == total
+
+    # One request per case, refused if a letter is over the limit; then the notes.
+    steps = []
+    requests = campaign.fail_if_over(
+        campaign.notice_requests(spark.table("note_population"), NOTICE, run, TAG),
+        4000, "text_en", "text_pt", "text_es")
+    rows, seen = campaign.counted(requests, "requests")
+    catalog.append_by_name(rows, "note_requests")
+    steps.append(seen)
+    for want in (total, 0):
+        notes = campaign.case_notes(
+            spark.table("note_population"), tables.cases, spark.table("note_notes"), "sent",
+            run.date(), TAG, first_id=campaign.next_id(spark.table("note_notes"), "note_id"))
+        rows, seen = campaign.counted(notes, "notes")
+        catalog.append_by_name(rows, "note_notes")
+        assert seen.get["rows"] == want
+        steps.append(seen)
+    assert campaign.run_report(steps, ["requests", "notes", "notes again"]) == {
+        "requests": total, "notes": total, "notes again": 0}
+    letter = spark.table("note_requests").first()
+    assert letter.text_pt == "Responda até 16-OCT-2026.\r" and letter.processed == "N"
+
+    # Requests of the last day flag both tables; nothing is left for another run.
+    sent = campaign.requested_cases(
+        spark.table("note_requests"), TAG, since=dt.datetime(2026, 9, 30), column="case_list")
+    for name in ("note_population", "note_info"):
+        marked = campaign.mark_triggered(
+            spark.table(name), sent, F.lit("2026-10-01 09:30:00").cast("timestamp"),
+            "notice_triggered", "notice_triggered_dt", only_undated=True)
+        after = files.write_snapshot(marked, str(tmp_path / name))
+        assert after.schema.names == names[name].names
+        assert after.filter("notice_triggered = 'Y' and notice_triggered_dt is not null").count() == total
+        assert campaign.notice_requests(after, NOTICE, run, TAG).count() == 0
+    for name in names:
+        catalog.drop_if_present(spark, name)
