@@ -249,8 +249,12 @@ def contact_list(
     types = phone_types.select(
         F.col("code").alias("type_cd"), F.col("description").alias("type_name")
     )
-    wanted = _asked_cases(cases).join(
-        population.select("case_id").distinct(), "case_id", "left_semi"
+    # Distinct here, on the join's own partitioning, keeps the rows below distinct.
+    wanted = (
+        _asked_cases(cases)
+        .join(population.select("case_id").distinct(), "case_id", "left_semi")
+        .select("case_id", "sms_pref")
+        .distinct()
     )
     numbers = (
         verified_phones(phone_xref, phones)
@@ -260,7 +264,7 @@ def contact_list(
         .select("case_id", "type_name", "rep_available", "own")
         .distinct()
     )
-    callable_cases = hold(numbers.join(wanted.select("case_id", "sms_pref"), "case_id"))
+    callable_cases = hold(numbers.join(wanted, "case_id"))
     rows = left_join_many(callable_cases, reps, "case_id")
     phone = (
         F.when(F.col("rep_available") == "Y", F.col("rep_phone"))
@@ -274,4 +278,4 @@ def contact_list(
         flag_or_no(F.col("sms_pref")).alias("opt_in"),
         F.coalesce("rep_available", F.lit("N")).alias("rep_available"),
         F.lit(identified_on).alias("identified_on"),
-    ).distinct()
+    )

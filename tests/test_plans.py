@@ -37,14 +37,6 @@ def test_filters_and_columns_reach_the_scan(tables):
     assert "l_comment" not in text and "l_extendedprice" not in text
 
 
-# All but the cool-down rule, the one job that needs Python for its state.
-@pytest.mark.parametrize("name", sorted(set(REGISTRY) - {"q_alert_cool_down", "q_importances"}))
-def test_no_python_and_no_cross_join(tables, name):
-    text = plan(tables, name)
-    for word in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "CartesianProduct", "NestedLoop"):
-        assert word not in text, f"{word} in {name}"
-
-
 def test_broadcast_depends_on_size(spark, tables):
     small = tables.nation
     assert estimated_bytes(small) < 100_000
