@@ -73,9 +73,9 @@ def _last_fire(times: np.ndarray, wait: int) -> np.ndarray:
         jump = further
 
 
-def _runs(frame: pd.DataFrame, key: str) -> Iterator[pd.DataFrame]:
-    ordered = frame.sort_values([key, "__us", "event_id"], kind="stable")
-    for _, run in ordered.groupby(key, sort=True):
+def _runs(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    ordered = frame.sort_values(["__series", "__us", "event_id"], kind="stable")
+    for _, run in ordered.groupby("__series", sort=True):
         yield run
 
 
@@ -90,18 +90,25 @@ def cool_down(
     wait = seconds * 1_000_000
     kinds = dict(samples.dtypes)
     epoch = F.lit("1970-01-01").cast(kinds["ts"])
+    # The series as text that is never NULL, so that rows without a series are one too.
+    named = F.concat(F.lit("="), F.col(key).cast("string"))
     hits = every_crossing(samples, limit).select(
-        key, "event_id", "ts", "value", F.timestamp_diff("MICROSECOND", epoch, "ts").alias("__us")
+        key,
+        "event_id",
+        "ts",
+        "value",
+        F.coalesce(named, F.lit("")).alias("__series"),
+        F.timestamp_diff("MICROSECOND", epoch, "ts").alias("__us"),
     )
     ranges = materialize(
-        hits.repartitionByRange(key, "__us", "event_id").withColumn(
+        hits.repartitionByRange("__series", "__us", "event_id").withColumn(
             "__range", F.spark_partition_id()
         )
     )
 
     def summarize(frame: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for run in _runs(frame, key):
+        for run in _runs(frame):
             times = run["__us"].to_numpy()
             entry = np.searchsorted(times, times[0] + wait, side="left") + 1
             exits = _last_fire(times, wait)[:entry]
@@ -111,7 +118,7 @@ def cool_down(
             rows.append(
                 pd.DataFrame(
                     {
-                        key: run[key].iloc[0],
+                        "__series": run["__series"].iloc[0],
                         "__range": frame["__range"].iloc[0],
                         "first": times[0],
                         "upto": times[ends],
@@ -127,16 +134,16 @@ def cool_down(
         for number, steps in frame.groupby("__range", sort=True):
             free_at = steps["first"].iloc[0] if fired is None else fired + wait
             if fired is not None:
-                out.append((frame[key].iloc[0], number, free_at))
+                out.append((frame["__series"].iloc[0], number, free_at))
             steps = steps.sort_values("upto")
             place = np.searchsorted(steps["upto"].to_numpy(), free_at, side="left")
             if place < len(steps):
                 fired = int(steps["exit"].iloc[place])
-        return pd.DataFrame(out, columns=[key, "__range", "free_at"])
+        return pd.DataFrame(out, columns=["__series", "__range", "free_at"])
 
     def fire(frame: pd.DataFrame) -> pd.DataFrame:
         kept = []
-        for run in _runs(frame, key):
+        for run in _runs(frame):
             times = run["__us"].to_numpy()
             following = _next_allowed(times, wait)
             free_at = run["free_at"].iloc[0]
@@ -148,27 +155,27 @@ def cool_down(
             kept.append(run.iloc[places])
         return pd.concat(kept)[[key, "event_id", "ts", "value"]]
 
-    field = hits.schema[key]
-    whole, range_no = T.LongType(), T.IntegerType()
-    summary_type = (
-        T.StructType([field]).add("__range", range_no).add("first", whole)
-        .add("upto", whole).add("exit", whole)
-    )
-    state_type = T.StructType([field]).add("__range", range_no).add("free_at", whole)
+    in_range = "__series string, __range int"
+    summary_type = f"{in_range}, first bigint, upto bigint, exit bigint"
+    state_type = f"{in_range}, free_at bigint"
     fired_type = T.StructType([hits.schema[c] for c in (key, "event_id", "ts", "value")])
 
     # Only a series that continues from one range into the next needs chaining:
     # it is the last of the one and the first of the other.
-    edges = ranges.groupBy("__range").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    edge_keys = (
-        edges.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias(key), "__range")
-        .groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select(key)
+    edges = ranges.groupBy("__range").agg(
+        F.min("__series").alias("lo"), F.max("__series").alias("hi")
+    )
+    split_series = (
+        edges.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("__series"), "__range")
+        .groupBy("__series").agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1).select("__series")
     )
-    spread = ranges.join(F.broadcast(edge_keys), key, "left_semi")
-    summaries = spread.select(key, "event_id", "__us", "__range").groupBy("__range").applyInPandas(
-        summarize, summary_type
+    spread = ranges.join(F.broadcast(split_series), "__series", "left_semi")
+    summaries = (
+        spread.select("__series", "event_id", "__us", "__range")
+        .groupBy("__range").applyInPandas(summarize, summary_type)
     )
-    states = summaries.groupBy(key).applyInPandas(chain, state_type)
+    states = summaries.groupBy("__series").applyInPandas(chain, state_type)
     # At most one row per range: only its first series can continue from before.
-    started = ranges.join(F.broadcast(states), [key, "__range"], "left")
+    started = ranges.join(F.broadcast(states), ["__series", "__range"], "left")
     return started.groupBy("__range").applyInPandas(fire, fired_type)

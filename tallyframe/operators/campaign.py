@@ -20,6 +20,13 @@ from tallyframe.sources.catalog import append_by_name
 
 LANGUAGES = ("en", "pt", "es")
 
+# Marks of a request and of a note, runs per campaign, days to reply.
+REQUEST_TYPE = "S"
+REQUEST_SOURCE = "MANUAL"
+NOTE_KIND = "OTHE"
+RUNS = 5
+REPLY_DAYS = 15
+
 
 # --- append ----------------------------------------------------------------
 
@@ -60,7 +67,7 @@ def untriggered(flag: str) -> Column:
     return F.coalesce(F.col(flag), F.lit("N")) == "N"
 
 
-def pick_batch(contacts: DataFrame, runs: int = 5, flag: str = "triggered") -> DataFrame:
+def pick_batch(contacts: DataFrame, runs: int = RUNS, flag: str = "triggered") -> DataFrame:
     """Cases of the next run: a ``runs``-th of all cases, the last run the rest.
 
     The share is floor(total / runs). When no more are left than the last run
@@ -149,8 +156,8 @@ def message_requests(
         code.alias("template_code"),
         F.lit("N").alias("processed"),
         F.lit(run_date).alias("request_dt"),
-        F.lit("S").alias("req_type"),
-        F.lit("MANUAL").alias("trigger_source"),
+        F.lit(REQUEST_TYPE).alias("req_type"),
+        F.lit(REQUEST_SOURCE).alias("trigger_source"),
         F.col("request_id").alias("history_id"),
         F.lit(created_by).alias("created_by"),
         F.lit(run_ts).alias("created_at"),
@@ -177,7 +184,7 @@ def notice_requests(
     run_ts: dt.datetime,
     created_by: str,
     first_id: int | Column = 1,
-    reply_days: int = 15,
+    reply_days: int = REPLY_DAYS,
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """One letter request per case not yet noticed, in all languages."""
@@ -208,7 +215,7 @@ def case_notes(
     text: str,
     run_date: dt.date,
     created_by: str,
-    kind: str = "OTHE",
+    kind: str = NOTE_KIND,
     page: str = "NOTICE",
     first_id: int | Column = 1,
 ) -> DataFrame:

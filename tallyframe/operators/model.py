@@ -18,9 +18,16 @@ from tallyframe.plans.sizes import broadcast_if_small
 
 RARE = "__rare__"
 
+# Hold-out share, share below which a level is rare, forest size, seed, list length.
+TEST_SHARE = "0.2"
+RARE_SHARE = "0.01"
+TREES = 200
+SEED = 42
+TOP = 25
+
 
 def stratified_split(
-    df: DataFrame, key: str, label: str, test_share: str = "0.2", seed: int = 42
+    df: DataFrame, key: str, label: str, test_share: str = TEST_SHARE, seed: int = SEED
 ) -> DataFrame:
     """``df`` with ``is_test``: in each class exactly the ceiling of the share.
 
@@ -45,7 +52,7 @@ def stratified_split(
 
 
 def common_levels(
-    df: DataFrame, columns: Sequence[str], min_share: str = "0.01"
+    df: DataFrame, columns: Sequence[str], min_share: str = RARE_SHARE
 ) -> dict[str, list[str]]:
     """Per text column the levels holding at least the share of rows.
 
@@ -124,7 +131,7 @@ def _pipeline(text: Sequence[str], numbers: Sequence[str], trees: int, depth: in
     return Pipeline(stages=stages)
 
 
-def named_importances(model: PipelineModel, scored: DataFrame, top: int | None = 25) -> DataFrame:
+def named_importances(model: PipelineModel, scored: DataFrame, top: int | None = TOP) -> DataFrame:
     """Feature names with the forest's importances, largest first.
 
     As many rows as features, which rare-level grouping bounds.
@@ -144,10 +151,10 @@ def fit_drivers(
     label: str,
     text: Sequence[str] = (),
     numbers: Sequence[str] = (),
-    trees: int = 200,
+    trees: int = TREES,
     depth: int = 5,
-    seed: int = 42,
-    top: int | None = 25,
+    seed: int = SEED,
+    top: int | None = TOP,
 ) -> FittedModel:
     """Fit a balanced random forest on 80 % of the rows and score it on the rest.
 
