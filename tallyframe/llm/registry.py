@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tallyframe.llm.mixing import op10_mixing
+from tallyframe.llm.token_ids import op6_token_ids
 
 QUERIES = {
+    "op6_token_ids": op6_token_ids,
     "op10_mixing": op10_mixing,
 }
 
