@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from tallyframe.llm.mixing import op10_mixing
+from tallyframe.llm.warc import op4_warc
 from tallyframe.llm.token_ids import op6_token_ids
 
 QUERIES = {
+    "op4_warc": op4_warc,
     "op6_token_ids": op6_token_ids,
     "op10_mixing": op10_mixing,
 }
