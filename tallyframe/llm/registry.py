@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from tallyframe.llm.mixing import op10_mixing
-from tallyframe.llm.warc import op4_warc
-from tallyframe.llm.token_ids import op6_token_ids
+from tallyframe.llm import decontaminate, mixing, token_ids, warc
 
 QUERIES = {
-    "op4_warc": op4_warc,
-    "op6_token_ids": op6_token_ids,
-    "op10_mixing": op10_mixing,
+    "op2_decontamination": decontaminate.op2_decontamination,
+    "op4_warc": warc.op4_warc,
+    "op6_token_ids": token_ids.op6_token_ids,
+    "op10_mixing": mixing.op10_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontamination": decontaminate.SQL,
+}
