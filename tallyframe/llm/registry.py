@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, mixing, token_ids, warc
+from tallyframe.llm import decontaminate, mixing, quality_model, quality_rules, token_ids, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
+    "op3_quality_model": quality_model.op3_quality_model,
     "op4_warc": warc.op4_warc,
+    "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_ids": token_ids.op6_token_ids,
     "op10_mixing": mixing.op10_mixing,
 }
