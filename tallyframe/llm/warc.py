@@ -111,15 +111,16 @@ def write_warc(pages: DataFrame, folder: str) -> str:
     """
     make_folder(f"{folder}/archives")
     html = F.coalesce("html", F.lit(""))
-    keyed = pages.select("page_id", "url", html.alias("html"), F.sha1(F.encode(html, "utf-8")).alias("sha1"))
-    ids = materialize(keyed.select("page_id", "sha1"))
+    id_text = F.coalesce(F.col("page_id").cast("string"), F.lit(""))  # never null, so that a plain join finds it
+    sha1 = F.sha1(F.encode(html, "utf-8"))
+    keyed = pages.select("page_id", "url", html.alias("html"), id_text.alias("id_text"), sha1.alias("sha1"))
+    ids = materialize(keyed.select("page_id", "id_text", "sha1"))
     firsts = ids.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     # Only pages whose payload occurs again are joined; equal rows are joined once.
-    roles = ids.distinct().join(firsts.drop("n"), "sha1").select("sha1", F.col("page_id").alias("__id"), "first", F.lit(True).alias("shared"))
-    nth = F.row_number().over(W.partitionBy("page_id", "sha1").orderBy("url")) - 1
-    numbered = keyed.withColumn("nth", nth)
-    on = (numbered["sha1"] == roles["sha1"]) & numbered["page_id"].eqNullSafe(roles["__id"])
-    joined = numbered.join(roles, on, "left")
+    roles = ids.distinct().join(firsts.drop("n"), "sha1").select("id_text", "sha1", "first", F.lit(True).alias("shared"))
+    # Window and join deal by the same keys, so the pages are shuffled once.
+    numbered = keyed.withColumn("nth", F.row_number().over(W.partitionBy("id_text", "sha1").orderBy("url")) - 1)
+    joined = numbered.join(roles, ["id_text", "sha1"], "left")
     revisit = F.col("shared").isNotNull() & (~F.col("page_id").eqNullSafe(F.col("first")) | (F.col("nth") > 0))
     rows = joined.select("page_id", "nth", "url", "first", revisit.alias("revisit"), "html")
     rows.mapInArrow(_write_archives(f"{folder}/archives"), "file string, records bigint").write.parquet(f"{folder}/list")
@@ -268,7 +269,7 @@ def read_warc(spark: SparkSession, folder: str, keep_payload: bool = True) -> Da
     of the payload they stand for, and no payload.
     """
     files = spark.read.parquet(f"{folder}/list").select("file")
-    spread = files.repartition(F.xxhash64("file"))
+    spread = files.repartition(max(1, files.count()))
     return spread.mapInArrow(_read_archives(f"{folder}/archives", keep_payload), COLUMNS)
 
 
