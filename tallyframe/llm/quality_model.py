@@ -21,7 +21,7 @@ from tallyframe.plans.lineage import materialize
 TABLE_BITS = 18
 #: At most so many labelled rows are learnt from, those with the least hashed ids.
 TRAIN_ROWS = 8000
-EPOCHS = 3
+EPOCHS = 6
 RATE, SMOOTH, L1, L2 = 0.5, 1.0, 0.02, 0.5
 
 # Classes of bytes: white space 0, letters, digits and all beyond ASCII 1, other signs 2.
