@@ -1,7 +1,8 @@
 """Token ids in binary shards with a minimal perfect hash index over document keys.
 
 A shard holds the ids of consecutive documents (by doc_id) as raw little-endian
-unsigned 32-bit integers, every document closed by the end id. An index file
+unsigned integers, of 16 bits if the vocabulary fits and else of 32, every
+document closed by the end id. An index file
 covers one hash bucket of keys and maps each to shard, offset and length, with
 a fingerprint. Reading one document takes one index look-up and one read.
 """
@@ -27,42 +28,77 @@ END_ID = 1
 KEYS_PER_INDEX = 100_000
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words longer than this are encoded each time; at most so many are remembered.
-KEPT_CHARS, KEPT_WORDS = 40, 400_000
+KEPT_CHARS, KEPT_WORDS = 40, 1_000_000
+JOINED = 1000
 
 _kept: dict[str, dict[str, bytes]] = {}
-_loaded: dict[str, object] = {}
+_loaded: dict[str, tuple] = {}
 
 
-def _tokenizer(path: str):
+def _tokenizer(path: str) -> tuple:
+    """The tokenizer, the type its ids are stored in, and which ids end a word."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[path] = Tokenizer.from_file(path)
+        found = Tokenizer.from_file(path)
+        vocabulary = found.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        _loaded[path] = found, "<u2" if len(ends) <= 1 << 16 else "<u4", ends
     return _loaded[path]
 
 
+def _plain(word: str) -> bool:
+    """Letters only, also in lower case: the tokenizer keeps such a word in one piece."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
+def _encode_new(new: set[str], path: str) -> dict[str, bytes]:
+    """Ids of words not met before. Plain words are encoded many at a time and
+    parted where an id ends a word; a block that does not part so, and every
+    other word, is encoded word by word."""
+    tokenizer, kind, ends = _tokenizer(path)
+    plain = [word for word in new if _plain(word)]
+    single, made = [word for word in new if not _plain(word)], {}
+    for low in range(0, len(plain), JOINED):
+        block = plain[low : low + JOINED]
+        ids = np.array(tokenizer.encode(" ".join(block), add_special_tokens=False).ids, kind)
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) != len(block) or cuts[-1] != len(ids):
+            single += block
+            continue
+        data, width, begin = ids.tobytes(), ids.itemsize, 0
+        for word, cut in zip(block, (cuts * width).tolist()):
+            made[word] = data[begin:cut]
+            begin = cut
+    for low in range(0, len(single), JOINED):
+        block = single[low : low + JOINED]
+        for word, found in zip(block, tokenizer.encode_batch(block, add_special_tokens=False)):
+            made[word] = np.array(found.ids, kind).tobytes()
+    return made
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as raw bytes, without the end id.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words in a row, and a word met before is not encoded again.
+    are those of its words in a row, and a word met before is not encoded
+    again. Letters and one closing mark are two pieces, so they too are looked
+    up apart.
     """
-    tokenizer, kept = _tokenizer(path), _kept.setdefault(path, {})
+    kept = _kept.setdefault(path, {})
     split = [WORD.findall(text) for text in texts]
-    new = list({word for found in split for word in found if word not in kept})
-    local: dict[str, bytes] = {}
-    for low in range(0, len(new), 10_000):
-        block = new[low : low + 10_000]
-        for word, made in zip(block, tokenizer.encode_batch(block, add_special_tokens=False)):
-            ids = np.array(made.ids, "<u4").tobytes()
-            (kept if len(word) <= KEPT_CHARS else local)[word] = ids
-    out = []
-    for found in split:
-        try:
-            out.append(b"".join([kept[word] for word in found]))
-        except KeyError:
-            out.append(b"".join([kept[word] if word in kept else local[word] for word in found]))
+    unknown = {word for found in split for word in found if word not in kept}
+    parts = {w: (w[:-1], w[-1]) if w[-1] in ".,!?;:" and _plain(w[:-1]) else (w,) for w in unknown}
+    pieces = {piece for found in parts.values() for piece in found}
+    local = _encode_new({piece for piece in pieces if piece not in kept}, path)
+    for word, found in parts.items():
+        local[word] = b"".join([local[p] if p in local else kept[p] for p in found])
+    long = {word: ids for word, ids in local.items() if len(word) > KEPT_CHARS}
+    kept.update(local if not long else {w: ids for w, ids in local.items() if w not in long})
+    get = kept.__getitem__ if not long else lambda word: kept[word] if word in kept else long[word]
+    out = [b"".join(map(get, found)) for found in split]
     if len(kept) > KEPT_WORDS:
         kept.clear()
     return out
@@ -77,19 +113,20 @@ def _blocks(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBat
 
 def _write_shard(folder: str, path: str):
     """Write one task's documents, in order, to a new file; give a row for each."""
-    end = np.array([END_ID], "<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A repeated task writes another file; only the rows of the task that
         # counts name theirs, so what a lost executor left is never read.
-        name, out, at = f"{uuid.uuid4().hex}.ids", None, 0
+        kind = _tokenizer(path)[1]
+        end, width = np.array([END_ID], kind).tobytes(), np.dtype(kind).itemsize
+        name, out, at = f"{uuid.uuid4().hex}.{kind[1:]}", None, 0
         system, root = open_path(folder)
         try:
             for whole in batches:
                 for batch in _blocks(whole):
                     texts = [t or "" for t in batch.column(1).to_pylist()]
                     made = [ids + end for ids in encode(texts, path)]
-                    counts = np.array([len(ids) // 4 for ids in made], np.int64)
+                    counts = np.array([len(ids) // width for ids in made], np.int64)
                     if made and out is None:
                         out = system.open_output_stream(f"{root}/{name}")
                     if made:
@@ -212,13 +249,15 @@ def _read_ids(folder: str, digest: bool):
                         if source is not None:
                             source.close()
                         name, source = file, system.open_input_file(f"{root}/{file}")
-                    data = source.read_at(4 * count, 4 * offset)
-                    if len(data) != 4 * count:
+                    kind = np.dtype("<" + file.rpartition(".")[2])
+                    data = source.read_at(kind.itemsize * count, kind.itemsize * offset)
+                    if len(data) != kind.itemsize * count:
                         raise ValueError(f"{file} ends before offset {offset} plus {count} ids")
-                    out.append(zlib.crc32(data) if digest else np.frombuffer(data, "<u4").astype(np.int64).tolist())
-                kind = pa.int64() if digest else pa.list_(pa.int64())
+                    ids = np.frombuffer(data, kind)
+                    out.append(zlib.crc32(ids.astype("<u4").tobytes()) if digest else ids.astype(np.int64).tolist())
+                last = pa.int64() if digest else pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), batch.column(4), pa.array(out, kind)],
+                    [batch.column(0), batch.column(1), batch.column(4), pa.array(out, last)],
                     names=["doc_id", "start", "n_tokens", "ids_crc32" if digest else "ids"],
                 )
         finally:
@@ -232,7 +271,8 @@ def read_ids(keys: DataFrame, folder: str, digest: bool = False) -> DataFrame:
     """Ids of each document in ``keys`` (``doc_id``), read through the index.
 
     Gives ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``
-    and ``ids``, or their crc32 as ``ids_crc32`` with ``digest``. A doc_id that
+    and ``ids``, or with ``digest`` the crc32 of the ids as 32-bit integers as
+    ``ids_crc32``. A doc_id that
     ``keys`` has k times gives the first k documents of that id.
     """
     places = find(_with_nth(keys.select("doc_id"), "doc_id"), folder)
