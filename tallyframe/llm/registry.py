@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, mixing, quality_model, quality_rules, token_ids, toxicity, warc
+from tallyframe.llm import decontaminate, html_text, mixing, quality_model, quality_rules, token_ids, toxicity, warc
 
 QUERIES = {
     "op2_decontamination": decontaminate.op2_decontamination,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_ids": token_ids.op6_token_ids,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op9_html_text": html_text.op9_html_text,
     "op10_mixing": mixing.op10_mixing,
 }
 
