@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, html_text, mixing, quality_model, quality_rules, token_ids, toxicity, warc
+from tallyframe.llm import decontaminate, html_text, jaccard_join, mixing, quality_model, quality_rules, token_ids, toxicity, warc
 
 QUERIES = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_quality_model": quality_model.op3_quality_model,
     "op4_warc": warc.op4_warc,
