@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, html_text, jaccard_join, mixing, quality_model, quality_rules, token_ids, toxicity, warc
+from tallyframe.llm import decontaminate, html_text, jaccard_join, mixing, quality_model, quality_rules, repeated_bytes, token_ids, toxicity, warc
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality_rules": quality_rules.op5_quality_rules,
     "op6_token_ids": token_ids.op6_token_ids,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_repeated_bytes": repeated_bytes.op8_repeated_bytes,
     "op9_html_text": html_text.op9_html_text,
     "op10_mixing": mixing.op10_mixing,
 }
