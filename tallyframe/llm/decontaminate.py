@@ -30,7 +30,12 @@ def words_of(text: Column) -> Column:
 
 
 def _runs(words: str, item) -> Column:
-    """One value for each run of ``SIZE`` words; fewer words give none."""
+    """One value for each run of ``SIZE`` words; fewer words give none.
+
+    Take it apart with ``explode_outer`` only: ``explode`` adds a filter on the
+    array's size, which is pushed below the split and makes it run again for
+    every single word.
+    """
     starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (SIZE - 1), F.lit(0)))
     return F.transform(starts, item)
 
@@ -46,7 +51,7 @@ def text_shingles(docs: DataFrame, *keys: str) -> DataFrame:
     """Rows of ``keys`` and ``shingle``: each distinct shingle as text."""
     split = docs.select(*keys, words_of(F.col("text")).alias("__words"))
     joined = lambda _, i: F.array_join(F.slice("__words", i + 1, F.lit(SIZE)), " ")
-    return split.select(*keys, F.explode(_runs("__words", joined)).alias("shingle")).distinct()
+    return split.select(*keys, F.explode_outer(_runs("__words", joined)).alias("shingle")).distinct().filter("shingle is not null")
 
 
 def _samples(items: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def _samples(items: DataFrame) -> DataFrame:
     twice the most that a class may miss, and of it all but ``missed`` must hit.
     """
     shingled = hashed_shingles(items).withColumn("__shingles", F.array_distinct("__shingles"))
-    sized = shingled.select("item_id", "__shingles", F.size("__shingles").alias("size")).filter("size > 0")
+    sized = shingled.select("item_id", "__shingles", F.size("__shingles").alias("size"))
     missed = F.expr(f"(size * {100 - SHARE_PERCENT}) div 100").cast("int")
     # The class bound: the least power of two that is not below the size.
     bound = F.expr("shiftleft(1, cast(ceil(log2(size)) as int))")
@@ -67,7 +72,7 @@ def _samples(items: DataFrame) -> DataFrame:
         # Ordered by another hash, so that the sample is the least by a random order.
         F.expr("slice(array_sort(transform(__shingles, x -> struct(xxhash64(x, 17) as o, x as h))), 1, sample)").alias("s"),
     )
-    return taken.select(F.explode("s.h").alias("hash"), "item_id", "size", "need")
+    return taken.select(F.explode_outer("s.h").alias("hash"), "item_id", "size", "need").filter("hash is not null")
 
 
 def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -87,7 +92,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     # The sample is measured before it is sent out; a larger one is joined by shuffle.
     small = samples.count() <= BROADCAST_ROWS
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    rows = hashed_shingles(keyed).select("doc_id", "text_hash", F.size("__shingles").alias("n"), F.explode("__shingles").alias("hash"))
+    rows = hashed_shingles(keyed).select("doc_id", "text_hash", F.size("__shingles").alias("n"), F.explode_outer("__shingles").alias("hash"))
     if not small:
         rows = rows.distinct()
     wanted = F.broadcast(samples) if small else samples
@@ -115,6 +120,13 @@ def _verified(keyed: DataFrame, candidates: DataFrame, per_item: DataFrame) -> D
     return pairs.filter(F.col("shared") * 100 >= F.col("item_shingles") * SHARE_PERCENT).withColumn("containment", share)
 
 
+def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs``, all columns, without the documents that hold a test item."""
+    found = contained(docs, items).select("doc_id", "text_hash").distinct()
+    found = found.withColumnsRenamed({"doc_id": "__d", "text_hash": "__t"})
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.xxhash64("text") == F.col("__t")), "left_anti")
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     items = spark.read.parquet(f"{folder}/benchmark.parquet")
