@@ -17,9 +17,9 @@ def span_covers(begin: Column, end: Column, day: dt.date) -> Column:
 
 
 def within_months_before(when: Column, day: dt.date, months: int) -> Column:
-    """Between ``months`` before ``day`` and ``day``, both ends included."""
+    """Between ``months`` before ``day`` and ``day``, both ends included; month end goes to month end."""
     on = F.lit(day)
-    return when.between(F.add_months(on, -months), on)
+    return when.between(add_months_eom(on, -months), on)
 
 
 def whole_years(birth: Column, day: dt.date | Column) -> Column:

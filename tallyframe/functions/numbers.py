@@ -22,13 +22,23 @@ def total(value: Column) -> Column:
     return F.sum(value).cast("decimal(38,2)")
 
 
+def exact(value: Column, kind: str) -> Column:
+    """A value of type ``kind`` for exact sums: decimals as they are, binary
+    fractions to eight places. What is summed is rounded once, by :func:`total`."""
+    return value if kind.startswith("decimal") else value.cast("decimal(24,8)")
+
+
 def cents(value: Column) -> Column:
-    """An amount with two decimals as whole cents.
+    """An amount with two decimals as whole cents; any other amount is an error.
 
-    Long arithmetic instead of decimal objects, for sums over every line of a
-    fact table. A sum past 9.2e18 cents is an error, not a wrong figure.
+    Long arithmetic instead of decimal objects, for sums over the lines of one
+    order or product. Sum these again as decimals (:func:`from_cents`).
     """
-    return F.rint(value.cast("double") * 100).cast("bigint")
+    hundredfold = value.cast("double") * 100
+    whole = F.rint(hundredfold)
+    # Binary fractions are off by far less than a thousandth of a cent.
+    off = F.abs(hundredfold - whole) > F.greatest(F.abs(whole) * 1e-12, F.lit(1e-3))
+    return F.when(off, F.raise_error(F.lit("an amount has parts of a cent"))).otherwise(whole).cast("bigint")
 
 
 def from_cents(value: Column) -> Column:

@@ -60,7 +60,8 @@ def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
         column = F.col(name)
         if kind == "int" and kinds[name] == "string":
             # "42.0" is a whole number; try_cast("int") on the text would reject it.
-            out[name] = column.try_cast("double").try_cast("int")
+            number = column.try_cast("double")
+            out[name] = F.when(number == F.floor(number), number).try_cast("int")
         elif kinds[name] == "timestamp_ntz" and kind == "date":
             out[name] = column.cast("date")
         else:
@@ -69,11 +70,23 @@ def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
 
 
 def clean_rows(df: DataFrame, casts: Mapping[str, str] | None = None) -> DataFrame:
-    """Trim, cast, drop rows with a NULL, drop twins.
+    """Trim, drop rows with a NULL, cast, drop twins.
 
-    Trimming comes first so that twins differing only in blanks are found.
+    Trimming comes first so that twins differing only in blanks are found. A
+    row whose value does not fit its type stays, with NULL in that column;
+    :func:`unfit_values` lists such rows with what they held.
     """
-    return cast_columns(strip_text(df), casts or {}).na.drop().dropDuplicates()
+    return cast_columns(strip_text(df).na.drop(), casts or {}).dropDuplicates()
+
+
+def unfit_values(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
+    """The trimmed rows that lose a value in the cast, and ``unfit``: the names of its columns."""
+    trimmed = strip_text(df).na.drop()
+    cast = cast_columns(trimmed.withColumns({f"__{name}": F.col(name) for name in casts}), casts)
+    lost = [F.when(F.col(name).isNull() & F.col(f"__{name}").isNotNull(), F.lit(name)) for name in casts]
+    kept = [F.col(f"__{n}").alias(n) if n in casts else F.col(n) for n in df.columns]
+    found = cast.withColumn("unfit", F.array_compact(F.array(*lost))).filter(F.size("unfit") > 0)
+    return found.select(*kept, "unfit")
 
 
 def clean_customers(customers: DataFrame) -> DataFrame:

@@ -13,14 +13,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.functions.dates import year_month
-from tallyframe.functions.numbers import money, total
+from tallyframe.functions.numbers import exact, total
 from tallyframe.operators.ranking import rank_within
-from tallyframe.plans.sizes import broadcast_if_small
 
 
 def add_revenue(lines: DataFrame) -> DataFrame:
-    """``revenue`` = price x quantity in exact cents."""
-    return lines.withColumn("revenue", money(money(F.col("price")) * F.col("quantity")))
+    """``revenue`` = price x quantity, exact and not rounded; totals round it once."""
+    price = exact(F.col("price"), dict(lines.dtypes)["price"])
+    return lines.withColumn("revenue", price * F.col("quantity"))
 
 
 def rows_per(df: DataFrame, *keys: str) -> DataFrame:
@@ -54,16 +54,13 @@ def revenue_by_country(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def revenue_by_country_broadcast(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customers joined to every line by broadcast, when they are small enough for it.
+    """Customers joined to every line, then summed by country.
 
-    Beyond the size limit the report takes the roll-up route of
-    :func:`revenue_by_country`; the answers are the same.
+    Customers grow with the data, so there is no hint: Spark broadcasts them if
+    they are within its threshold when the join runs, else it shuffles.
     """
     home = customers.select("customer_id", "country")
-    hinted = broadcast_if_small(home)
-    if hinted is home:
-        return revenue_by_country(sales, customers)
-    return revenue_by(sales.join(hinted, "customer_id"), "country")
+    return revenue_by(sales.join(home, "customer_id"), "country")
 
 
 def average_order_value(sales: DataFrame, customers: DataFrame, places: int = 4) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.numbers import cents, from_cents, money, total
+from tallyframe.functions.numbers import exact, money, total
 
 
 def paid_more_than(staff: DataFrame, salary: float) -> DataFrame:
@@ -50,13 +50,14 @@ def staff_sales(staff: DataFrame, sales: DataFrame) -> DataFrame:
     return matched.drop(F.col("t.employee_id"))
 
 
-def _sold() -> Column:
-    return from_cents(F.sum(cents(F.col("amount"))))
+def _sold(sales: DataFrame) -> Column:
+    """Sum of all amounts at their own scale, rounded to cents once."""
+    return total(exact(F.col("amount"), dict(sales.dtypes)["amount"]))
 
 
 def seller_totals(sales: DataFrame) -> DataFrame:
     """Sales per seller; joined to staff afterwards, one row per seller."""
-    return sales.groupBy("employee_id").agg(_sold().alias("total_sales"))
+    return sales.groupBy("employee_id").agg(_sold(sales).alias("total_sales"))
 
 
 def sales_by(staff: DataFrame, sales: DataFrame, *keys: str) -> DataFrame:
@@ -74,7 +75,7 @@ def product_totals(sales: DataFrame, products: Sequence[str] | None = None) -> D
     """Amount and rows per product, optionally only of listed products."""
     rows = sales if products is None else sales.filter(F.col("product").isin(list(products)))
     return rows.groupBy("product").agg(
-        _sold().alias("total"), F.count(F.lit(1)).alias("n")
+        _sold(sales).alias("total"), F.count(F.lit(1)).alias("n")
     )
 
 

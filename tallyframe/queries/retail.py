@@ -30,7 +30,8 @@ def project(t: Tables):
 def revenue_lines(t: Tables):
     lines = insights.add_revenue(t.part_sales)
     return lines.select(
-        "order_id", "product", F.col("quantity").cast("decimal(10,0)").alias("quantity"), "revenue"
+        "order_id", "product", F.col("quantity").cast("decimal(10,0)").alias("quantity"),
+        money(F.col("revenue")).alias("revenue"),
     )
 
 

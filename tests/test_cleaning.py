@@ -1,16 +1,17 @@
 """Messy rows in, clean rows out."""
 
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe import schemas
 from tallyframe.functions.bands import band, band_in_pandas, member_class
-from tallyframe.functions.dates import add_months_eom, parse_date
-from tallyframe.functions.numbers import as_flag, half_even
+from tallyframe.functions.dates import add_months_eom, parse_date, within_months_before
+from tallyframe.functions.numbers import as_flag, cents, half_even
 from tallyframe.functions.text import first_number, flag_or_no, joined, strip, yes_or_unset
-from tallyframe.operators import cleaning, profiling
+from tallyframe.operators import cleaning, insights, profiling, staff
 
 
 def column(spark, values, kind="string"):
@@ -30,7 +31,12 @@ def test_customers(spark):
     )
     got = cleaning.clean_customers(raw)
     assert dict(got.dtypes)["age"] == "int"
-    assert [tuple(r) for r in got.collect()] == [(1, "Ann", "USA", 42, "F")]
+    # Age "old" is no number: the row stays, its age is missing, and it is listed.
+    assert sorted(map(tuple, got.collect())) == [(1, "Ann", "USA", 42, "F"), (4, "Di", "UK", None, "F")]
+    listed_rows = cleaning.unfit_values(raw, {"age": "int"}).collect()
+    assert [(r.customer_id, r.age, r.unfit) for r in listed_rows] == [(4, "old", ["age"])]
+    part = raw.limit(1).withColumn("age", F.lit("42.7"))
+    assert cleaning.unfit_values(part, {"age": "int"}).count() == 1
 
 
 def test_orders(spark):
@@ -41,8 +47,27 @@ def test_orders(spark):
         "price string, order_date string",
     )
     got = cleaning.clean_orders(raw).collect()
-    assert [(r.order_id, r.product, r.price, r.order_date) for r in got] == [
-        (1, "Pen", 1.5, dt.date(2023, 1, 12))]
+    assert sorted(((r.order_id, r.product, r.price, r.order_date) for r in got)) == [
+        (1, "Pen", 1.5, dt.date(2023, 1, 12)), (2, "Pen", None, dt.date(2023, 1, 12)), (3, "Pen", 1.5, None)]
+    unfit = cleaning.unfit_values(raw, {"price": "double", "order_date": "date"}).collect()
+    assert {r.order_id: (r.price, r.order_date, r.unfit) for r in unfit} == {
+        2: ("abc", "2023-01-12", ["price"]), 3: ("1.50", "2023-13-01", ["order_date"])}
+
+
+def test_amounts_are_rounded_once(spark):
+    lines = spark.createDataFrame([(0.125, 1000)], "price double, quantity int")
+    assert insights.revenue_by(insights.add_revenue(lines).withColumn("k", F.lit(1)), "k").first().total_revenue == D("125.00")
+    sales = spark.createDataFrame([(1, 0.004)] * 1000, "employee_id int, amount double")
+    assert staff.seller_totals(sales).first().total_sales == D("4.00")
+    with pytest.raises(Exception, match="parts of a cent"):
+        sales.select(cents(F.col("amount"))).collect()
+    assert sales.limit(1).select(cents(F.lit(1234.57))).first()[0] == 123457
+
+
+def test_lookback_from_a_month_end(spark):
+    days = column(spark, [dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2025, 2, 28)], "date")
+    got = listed(days.filter(within_months_before(F.col("x"), dt.date(2025, 2, 28), 12)))
+    assert got == [dt.date(2024, 2, 29), dt.date(2025, 2, 28)]
 
 
 def test_missing_columns_are_named(spark):
