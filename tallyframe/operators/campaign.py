@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tallyframe.functions.dates import NEVER_ENDS, day_month_year
-from tallyframe.functions.text import byte_length, capped, fill_placeholders, is_over, next_code
+from tallyframe.functions.text import CODE_PATTERN, byte_length, capped, fill_placeholders, is_over, next_code
 from tallyframe.plans.ordered import number_rows
 from tallyframe.sources.catalog import append_by_name
 
@@ -105,11 +105,22 @@ class NoticeTemplate:
     texts: Mapping[str, str]
 
 
+def latest_code(code: str) -> Column:
+    """The code with the highest trailing number: SMS100 comes after SMS99."""
+    number = F.regexp_extract(code, CODE_PATTERN, 2)
+    return F.max_by(code, F.struct(number.try_cast("bigint"), F.col(code)))
+
+
 def template_row(
-    templates: DataFrame, template: MessageTemplate, run_date: dt.date, created_by: str
+    templates: DataFrame,
+    template: MessageTemplate,
+    run_date: dt.date,
+    created_by: str,
+    first_code: str = "SMS01",
 ) -> DataFrame:
-    """The template's row under the next free code; empty if the tag has one already."""
-    code = next_code(F.max("code"))
+    """The template's row under the next free code, or the first code if there is none;
+    empty if the tag has a row already."""
+    code = F.coalesce(next_code(latest_code("code")), F.lit(first_code))
     row = templates.agg(code.alias("code")).select(
         "code",
         F.lit(template.description).alias("description"),

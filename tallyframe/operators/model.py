@@ -14,16 +14,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyframe.plans.hold import held
 from tallyframe.plans.ordered import number_rows
-from tallyframe.plans.sizes import broadcast_if_small
 
 RARE = "__rare__"
 
-# Hold-out share, share below which a level is rare, forest size, seed, list length.
+# Hold-out share, share below which a level is rare, forest size, seed, depth (the most Spark allows).
 TEST_SHARE = "0.2"
 RARE_SHARE = "0.01"
 TREES = 200
 SEED = 42
-TOP = 25
+DEPTH = 30
 
 
 def stratified_split(
@@ -45,7 +44,7 @@ def stratified_split(
     share = F.lit(Decimal(test_share))
     place = F.col("__rn") - F.col("__first") + 1
     return (
-        numbered.join(broadcast_if_small(sizes), F.col(label).eqNullSafe(F.col("__label")))
+        numbered.join(sizes, F.col(label).eqNullSafe(F.col("__label")))
         .withColumn("is_test", place <= F.ceil(F.col("__size") * share))
         .drop("__mix", "__rn", "__label", "__first", "__size")
     )
@@ -131,7 +130,7 @@ def _pipeline(text: Sequence[str], numbers: Sequence[str], trees: int, depth: in
     return Pipeline(stages=stages)
 
 
-def named_importances(model: PipelineModel, scored: DataFrame, top: int | None = TOP) -> DataFrame:
+def named_importances(model: PipelineModel, scored: DataFrame, top: int | None = None) -> DataFrame:
     """Feature names with the forest's importances, largest first.
 
     As many rows as features, which rare-level grouping bounds.
@@ -152,9 +151,9 @@ def fit_drivers(
     text: Sequence[str] = (),
     numbers: Sequence[str] = (),
     trees: int = TREES,
-    depth: int = 5,
+    depth: int = DEPTH,
     seed: int = SEED,
-    top: int | None = TOP,
+    top: int | None = None,
 ) -> FittedModel:
     """Fit a balanced random forest on 80 % of the rows and score it on the rest.
 

@@ -15,7 +15,6 @@ from tallyframe.functions.text import flag_or_no, yes_or_unset
 from tallyframe.operators.joins import left_join_many
 from tallyframe.operators.ranking import newest
 from tallyframe.plans.lineage import materialize
-from tallyframe.plans.sizes import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -58,9 +57,9 @@ class PopulationRules:
 
 
 def _is_active(day: dt.date) -> Column:
-    event, due = F.col("event_end_dt"), F.col("due_dt")
-    runs_on = (event.isNotNull() & (event >= F.lit(day))) | (due.isNotNull() & (due >= F.lit(day)))
-    return span_covers(F.col("eff_begin_dt"), F.col("eff_end_dt"), day) & runs_on
+    # The later of both dates; ``greatest`` passes over a missing one.
+    runs_on = F.greatest("event_end_dt", "due_dt") >= F.lit(day)
+    return span_covers(F.col("eff_begin_dt"), F.col("eff_end_dt"), day) & F.coalesce(runs_on, F.lit(False))
 
 
 def _is_recent(day: dt.date, months: int) -> Column:
@@ -89,12 +88,17 @@ def excluded_members(spans: DataFrame, day: dt.date, months: int = 12) -> DataFr
 # --- status and contact ----------------------------------------------------
 
 
-def latest_status(external: DataFrame, excluded_codes: Sequence[str]) -> DataFrame:
+def latest_status(
+    external: DataFrame, excluded_codes: Sequence[str], people: DataFrame | None = None
+) -> DataFrame:
     """Latest external row per person, kept unless its code is listed.
 
     The code is tested after the latest row is found: a person whose latest
-    code is listed drops out, whatever older rows say.
+    code is listed drops out, whatever older rows say. With ``people`` (a
+    ``person_key`` column) only their rows are ranked.
     """
+    if people is not None:
+        external = external.join(people.select("person_key").distinct(), "person_key", "left_semi")
     latest = newest(external, ["person_key"], [F.col("seq_num").desc()])
     code = F.col("status_cd")
     return latest.filter(~code.isin(list(excluded_codes)) | code.isNull()).select(
@@ -165,21 +169,28 @@ def base_pairs(tables: PopulationTables, rules: PopulationRules) -> DataFrame:
     )
 
 
-def eligible_people(tables: PopulationTables, rules: PopulationRules) -> DataFrame:
+def eligible_people(
+    tables: PopulationTables, rules: PopulationRules, wanted: DataFrame | None = None
+) -> DataFrame:
     """One row per member of age whose latest status passes.
 
+    With ``wanted`` (a ``member_id`` column) only these members, and only their
+    status rows, are looked at.
+
     Age is tested against a birth date limit, a constant the scan can use,
     which is the same as comparing whole years. A person without a status code
     passes only with an open demographics row that says not a citizen.
     """
     born_by = add_months_eom(F.lit(rules.as_of), -12 * rules.min_age)
     of_age = tables.members.filter(F.col("birth_dt") <= born_by).select("member_id", "person_key")
+    if wanted is not None:
+        of_age = of_age.join(wanted.select("member_id").distinct(), "member_id", "left_semi")
     foreign = (
         tables.demographics.filter(F.col("eff_end_dt").isNull() & (F.col("citizen_sw") == "N"))
         .select("member_id").distinct().withColumn("not_citizen", F.lit(True))
     )
     people = (
-        of_age.join(latest_status(tables.external_status, rules.excluded_codes), "person_key")
+        of_age.join(latest_status(tables.external_status, rules.excluded_codes, of_age), "person_key")
         .join(foreign, "member_id", "left")
     )
     return people.filter(F.col("code").isNotNull() | F.col("not_citizen")).select(
@@ -202,7 +213,7 @@ def impacted_population(
     runs of one case and member are one row.
     """
     base = hold(base_pairs(tables, rules))
-    rows = base.drop(*rules.flags).join(eligible_people(tables, rules), "member_id")
+    rows = base.drop(*rules.flags).join(eligible_people(tables, rules, base), "member_id")
     if rules.flags:
         flags = base.groupBy("member_id").agg(
             *[F.max(name).alias(name) for name in rules.flags]
@@ -215,7 +226,7 @@ def impacted_population(
         names = tables.languages.select(
             F.col("code").alias("read_lang"), F.col("description").alias("language")
         )
-        rows = rows.join(broadcast_if_small(names), "read_lang", "left")
+        rows = rows.join(names, "read_lang", "left")
     return rows.drop("read_lang")
 
 
@@ -258,7 +269,7 @@ def contact_list(
     )
     numbers = (
         verified_phones(phone_xref, phones)
-        .join(broadcast_if_small(types), "type_cd")
+        .join(types, "type_cd")
         .join(represented, "case_id", "left")
         .withColumn("own", F.when(F.col("rep_available").isNull(), F.col("number")))
         .select("case_id", "type_name", "rep_available", "own")

@@ -2,25 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> tempfile.TemporaryDirectory:
-    """A folder of this process, removed when it ends."""
-    return tempfile.TemporaryDirectory(prefix="tallyframe-", ignore_cleanup_errors=True)
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     It is the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-    A local session without one gets a temporary folder; on a cluster that is
-    an error, because executors do not share a machine's own disk.
+    A local session without one uses a folder in its warehouse; on a cluster
+    that is an error, because executors do not share a machine's own disk.
+    :func:`drop_scratch` removes it when a job's results are written.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -30,11 +23,19 @@ def scratch_dir(spark: SparkSession) -> str:
     if not named:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = _local_folder().name
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this session's scratch folder; frames built on it cannot be read any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system.delete(place, True)
+    system.mkdirs(place)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

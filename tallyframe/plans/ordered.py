@@ -14,7 +14,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyframe.plans.lineage import materialize
-from tallyframe.plans.sizes import broadcast_if_small
 
 _POSITION = "__position"
 _RANGE = "__range"
@@ -108,7 +107,7 @@ def exact_median(
     )
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
     near = (
-        rows.join(broadcast_if_small(groups_seen), same)
+        rows.join(groups_seen, same)
         .filter(F.col("__v") <= F.col("__to"))
         # Everything below the enclosure shares one NULL, which sorts first.
         .withColumn("__v", F.when(F.col("__v") >= F.col("__from"), F.col("__v")))
@@ -143,8 +142,8 @@ def _middle(rows: DataFrame, sizes: DataFrame, keys: list[str], same: Column) ->
     upto = F.col("__upto") - F.col("__before")
     first = upto - F.col("__n") + 1
     middle = (
-        ranked.join(broadcast_if_small(starts), here)
-        .join(broadcast_if_small(sizes), same)
+        ranked.join(starts, here)
+        .join(sizes, same)
         .filter((first <= high) & (upto >= low))
         .select(
             *keys,

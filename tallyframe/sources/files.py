@@ -16,12 +16,14 @@ def read_csv(
 
     With a schema there is no inference pass over the data and malformed rows
     fail (or go to ``_corrupt_record`` under ``PERMISSIVE`` if the schema has
-    it). Without one the types are inferred, which reads the files twice.
+    it), and so does a header that differs from the schema's names. Without one
+    the types are inferred, which reads the files twice.
     """
     reader = spark.read.option("header", True).option("dateFormat", date_format)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).option("mode", mode).csv(path)
+    # Else Spark puts columns in the schema's order without a look at the header.
+    return reader.schema(schema).option("mode", mode).option("enforceSchema", False).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -69,14 +71,33 @@ def write_pairs(df: DataFrame, path: str, key: str | Column, value: str | Column
     df.select(line.alias("value")).write.mode("errorifexists").text(path)
 
 
+def _resolved(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark names it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return system.makeQualified(place).toString().rstrip("/")
+
+
+def read_roots(df: DataFrame) -> set[str]:
+    """The folders and files that a frame's plan reads, as they were given; no listing of files."""
+    spark, roots = df.sparkSession, set()
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName().startswith(("LogicalRelation", "Relation")) and hasattr(leaf, "relation"):
+            paths = leaf.relation().location().rootPaths()
+            roots |= {_resolved(spark, paths.apply(k).toString()) for k in range(paths.size())}
+    return roots
+
+
 def write_snapshot(df: DataFrame, path: str) -> DataFrame:
     """Write a changed copy of a table to a new path and read it back.
 
     Parquet has no UPDATE; a changed table is a new snapshot. Writing over a
     path the plan still reads would lose rows, so that is refused.
     """
-    inside = path.rstrip("/") + "/"
-    if any(inside in name for name in df.inputFiles()):
+    target = _resolved(df.sparkSession, path)
+    if any(root == target or root.startswith(target + "/") for root in read_roots(df)):
         raise ValueError(f"{path} is read by the frame being written; choose a new path")
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

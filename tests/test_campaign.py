@@ -52,6 +52,13 @@ def templates(spark, tag="old"):
     )
 
 
+def test_codes_go_on_after_a_carry(spark):
+    codes = spark.createDataFrame([("SMS99",), ("SMS100",), ("SMS7",)], "code string")
+    assert codes.agg(next_code(campaign.latest_code("code"))).first()[0] == "SMS101"
+    empty = templates(spark).limit(0)
+    assert campaign.template_row(empty, MESSAGE, RUN.date(), "new", "SMS01").first().code == "SMS01"
+
+
 def test_template_row_is_written_once(spark):
     row = campaign.template_row(templates(spark), MESSAGE, RUN.date(), "new").first()
     assert (row.code, row.len_en, row.len_pt, row.len_es) == ("SMS0100", 5, 3, 6)

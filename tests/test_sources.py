@@ -3,12 +3,15 @@
 import datetime as dt
 import glob
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyframe import schemas
 from tallyframe.operators.insights import run_sql
 from tallyframe.plans.inspect import describe_shape, plan_text
+from tallyframe.plans import lineage
 from tallyframe.sources import catalog, files
 
 ROWS = [(1, 1, "Pen", "Office", 2, 1.5, dt.date(2023, 1, 12)),
@@ -76,6 +79,22 @@ def test_sheets(spark, orders, tmp_path):
     assert same(sheets["one"], sheets["two"])
 
 
+def test_header_must_fit_the_schema(spark, tmp_path):
+    path = str(tmp_path / "swapped.csv")
+    spark.createDataFrame([("USA", "Ann")], "country string, name string").write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, path, spark.createDataFrame([], "name string, country string").schema).collect()
+
+
+def test_scratch_is_empty_after_a_job(spark):
+    folder = lineage.scratch_dir(spark).removeprefix("file:")
+    lineage.materialize(spark.range(3)).count()
+    assert os.listdir(folder)
+    lineage.drop_scratch(spark)
+    assert not os.listdir(folder)
+    assert lineage.materialize(spark.range(3)).count() == 3
+
+
 def test_snapshot_refuses_the_path_it_reads(spark, orders, tmp_path):
     old, new = str(tmp_path / "v1"), str(tmp_path / "v2")
     files.write_parquet(orders, old)
