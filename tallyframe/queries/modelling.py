@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyframe.operators import model
 from tallyframe.queries.registry import Tables, query
 
@@ -16,10 +18,27 @@ def stratified_split(t: Tables):
     return model.stratified_split(t.labels.select("doc_id", "quality"), "doc_id", "quality")
 
 
-# No SQL twin: a random forest is not a query.
-@query("q_importances")
+# A forest's weights are no query; their names and what they sum to are.
+@query("q_importances", """
+    WITH rows AS (
+        SELECT d.lang, d.source, l.quality,
+               ROW_NUMBER() OVER (PARTITION BY l.quality ORDER BY MD5(CAST(d.doc_id AS VARCHAR) || ':42'), d.doc_id)
+                   <= CEIL(COUNT(*) OVER (PARTITION BY l.quality) * 0.2) AS is_test
+        FROM documents d JOIN labels l USING (doc_id)),
+    train AS (SELECT lang, source FROM rows WHERE NOT is_test),
+    levels AS (
+        SELECT 'lang=' || lang AS feature, COUNT(*) AS n FROM train GROUP BY lang
+        UNION ALL SELECT 'source=' || source, COUNT(*) FROM train GROUP BY source)
+    SELECT feature, CAST(1.0 AS DOUBLE) AS total FROM levels
+    WHERE n >= 0.01 * (SELECT COUNT(*) FROM train)
+    UNION ALL SELECT 'n_chars', CAST(1.0 AS DOUBLE)""")
 def importances(t: Tables):
+    """Every feature of the forest with the sum of all importances."""
     fitted = model.fit_drivers(
-        t.labelled, "doc_id", "quality", text=["lang", "source"], numbers=["n_chars"]
+        t.labelled, "doc_id", "quality", text=["lang", "source"], numbers=["n_chars"], depth=5
     )
-    return fitted.importances
+    # The indexer adds a level of its own for the unseen.
+    extra = F.col("feature").endswith(f"={model.RARE}") | F.col("feature").endswith("=__unknown")
+    named = fitted.importances.filter(~extra)
+    whole = fitted.importances.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return named.select("feature").join(F.broadcast(whole))
