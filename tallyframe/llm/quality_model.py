@@ -114,18 +114,29 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % by
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> np.ndarray:
-    """Weights from the ``rows`` labelled documents with the least hashed ids.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """(text, label) of at most ``rows`` labelled documents in one partition, in a fixed order.
 
-    Only texts and labels go in. Ids with contradicting labels and null labels
-    are left out. Without any label every weight is 0 and every score 0.5.
+    The ids are chosen from the labels alone, those with the least hash, so
+    the table sent to the documents has at most ``rows`` rows. Ids with
+    contradicting labels, null labels and null ids are left out.
     """
     agreed = labels.filter(f"doc_id is not null and {label} is not null").groupBy("doc_id").agg(
         F.min(label).alias("label"), F.max(label).alias("most")
-    ).filter("label = most").select("doc_id", "label")
-    # The sample is bounded, and so is the task that learns from it.
-    sample = docs.select("doc_id", "text").join(agreed, "doc_id").withColumn("o", F.xxhash64("doc_id", "text")).orderBy("o", "doc_id").limit(rows)
-    one = sample.repartition(1).sortWithinPartitions("o", "doc_id").select("text", "label")
+    ).filter("label = most")
+    ids = agreed.select("doc_id", "label", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(rows)
+    own = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").withColumn("t", F.xxhash64("text"))
+    bounded = own.orderBy("o", "doc_id", "t").limit(rows)  # an id may have several rows
+    return bounded.repartition(1).sortWithinPartitions("o", "doc_id", "t").select("text", "label")
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> np.ndarray:
+    """Weights from a bounded sample of labelled documents.
+
+    Only texts and labels go in. Without any label every weight is 0 and every
+    score 0.5.
+    """
+    one = labelled_sample(docs, labels, label, rows)
     found = materialize(one.mapInArrow(_train, "weights binary")).first()
     return np.frombuffer(found["weights"], "<f4") if found else np.zeros((1 << TABLE_BITS) + 1, np.float32)
 
@@ -159,7 +170,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: int = 1, folds: int = 3) -> DataFrame:
     """Score every document; rows whose id falls in ``fold`` are never learnt from."""
     held = remainder(F.col("doc_id"), folds) == fold
-    scored = score_texts(docs, fit(docs.filter(~held), labels, label))
+    scored = score_texts(docs, fit(docs, labels.filter(~held), label))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
