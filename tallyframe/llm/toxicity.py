@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyframe.llm import vec
-from tallyframe.llm.quality_model import remainder, sigmoid
+from tallyframe.llm.quality_model import labelled_sample, remainder, sigmoid
 from tallyframe.plans.lineage import materialize
 
 #: At most so many labelled rows are learnt from, those with the least hashed ids.
@@ -142,16 +142,8 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS) -> bytes | None:
-    """Model from the ``rows`` labelled documents with the least hashed ids; None without any.
-
-    Ids with contradicting labels and null labels are left out.
-    """
-    agreed = labels.filter(f"doc_id is not null and {label} is not null").groupBy("doc_id").agg(
-        F.min(label).alias("label"), F.max(label).alias("most")
-    ).filter("label = most").select("doc_id", "label")
-    # The sample is bounded, and so is the task that learns from it.
-    sample = docs.select("doc_id", "text").join(agreed, "doc_id").withColumn("o", F.xxhash64("doc_id", "text")).orderBy("o", "doc_id").limit(rows)
-    one = sample.repartition(1).sortWithinPartitions("o", "doc_id").select("text", "label")
+    """Model from a bounded sample of labelled documents; None without any."""
+    one = labelled_sample(docs, labels, label, rows)
     found = materialize(one.mapInArrow(_train, "model binary")).first()
     return bytes(found["model"]) if found else None
 
@@ -159,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
 _open: dict[bytes, tuple] = {}
 
 
-def _score(model):
+def _score(model, text_at: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data = model.value
         if data not in _open:  # a worker keeps what it knows of words from task to task
@@ -168,31 +160,42 @@ def _score(model):
             _open[data] = found, Windows(found["ordinary"], found["toxic"])
         found, windows = _open[data]
         for batch in batches:
-            _, offsets = vec.string_bytes(batch.column(1))
+            texts_of = batch.column(text_at)
+            _, offsets = vec.string_bytes(texts_of)
             out = [np.zeros(0)]
             for low, high in vec.chunks(offsets):
-                texts = [t or "" for t in batch.column(1).slice(low, high - low).to_pylist()]
+                texts = [t or "" for t in texts_of.slice(low, high - low).to_pylist()]
                 rows = (windows.features(texts) - found["mean"]) / found["scale"]
                 out.append(sigmoid(rows @ found["weights"][:-1] + found["weights"][-1]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns) if i != 1), pa.array(np.concatenate(out))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=[*batch.schema.names, "__score"])
 
     return score
 
 
 def score_texts(docs: DataFrame, model: bytes | None) -> DataFrame:
-    """``doc_id`` and ``score`` of every whole text; null texts count as empty, without a model all score 0."""
+    """``docs``, all columns, with ``__score`` of every whole text.
+
+    Null texts count as empty; without a model all score 0.
+    """
     if model is None:
-        return docs.select("doc_id", F.lit(0.0).alias("score"))
+        return docs.withColumn("__score", F.lit(0.0))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # two dictionaries of bounded size
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_score(sent), f"doc_id {kind}, score double")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(_score(sent, docs.columns.index("text")), f"{kinds}, __score double")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, fold: int = 0, folds: int = 5) -> DataFrame:
+    """``docs``, all columns, without those that score 0.5 or more."""
+    model = fit(docs, labels.filter(remainder(F.col("doc_id"), folds) != fold))
+    return score_texts(docs, model).filter("__score < 0.5").drop("__score")
 
 
 def classify(docs: DataFrame, labels: DataFrame, fold: int = 0, folds: int = 5) -> DataFrame:
     """Score every document; rows whose id falls in ``fold`` are never learnt from."""
     held = remainder(F.col("doc_id"), folds) == fold
-    scored = score_texts(docs, fit(docs.filter(~held), labels))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = score_texts(docs.select("doc_id", "text"), fit(docs, labels.filter(~held)))
+    predicted = (F.col("__score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held.alias("held_out"), F.col("__score").alias("score"), predicted)
 
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
