@@ -85,8 +85,8 @@ def _scan(size: int):
         found, count = found[count >= LEAST_IN_RUN], count[count >= LEAST_IN_RUN]
         none = pa.nulls(len(found), like)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(found), np.int32)), none, pa.array(count.astype(np.int64)), _signed(found), _signed(np.zeros(len(found), U64))],
-            names=["kind", "doc_id", "n", "cls", "check"],
+            [pa.array(np.ones(len(found), np.int32)), none, pa.nulls(len(found), pa.int64()), pa.array(count.astype(np.int64)), _signed(found), _signed(np.zeros(len(found), U64))],
+            names=["kind", "doc_id", "text_hash", "n", "cls", "check"],
         )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +96,8 @@ def _scan(size: int):
             for low, high, made, at in _parts(batch, 1, size):
                 one, two = digests(made, at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(high - low, np.int32)), batch.column(0).slice(low, high - low), pa.array(np.diff(at)), _signed(one), _signed(two)],
-                    names=["kind", "doc_id", "n", "cls", "check"],
+                    [pa.array(np.zeros(high - low, np.int32)), *(batch.column(i).slice(low, high - low) for i in (0, 2)), pa.array(np.diff(at)), _signed(one), _signed(two)],
+                    names=["kind", "doc_id", "text_hash", "n", "cls", "check"],
                 )
                 new = [i for i, d in enumerate(one.tolist()) if not (d in seen or seen.add(d))]
                 tokens += [made[at[i] : at[i + 1]] for i in new]
@@ -262,9 +262,10 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` or more.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. Gives
-    ``doc_id``, ``n_shingles``, ``class_id`` (digest of the set; equal sets
-    share it), ``component_id`` (the least doc_id of the component) and
-    ``first`` (whether a row is the first of its component).
+    ``doc_id``, ``text_hash`` (xxhash64 of the text), ``n_shingles``,
+    ``class_id`` (digest of the set; equal sets share it), ``root`` (the least
+    class of the component; null without a shingle) and ``component_id`` (the
+    least doc_id of the component).
 
     Null, empty and blank texts have no shingle and are linked with nothing.
     Rows that share an id are documents of their own, with one id. A null id
@@ -272,7 +273,10 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scanned = materialize(docs.select("doc_id", "text").mapInArrow(_scan(size), f"kind int, doc_id {kind}, n bigint, cls bigint, check bigint"))
+    scanned = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        _scan(size), f"kind int, doc_id {kind}, text_hash bigint, n bigint, cls bigint, check bigint"
+    )
+    scanned = materialize(scanned)
     rows = scanned.filter("kind = 0").drop("kind")
     classes = rows.filter("n > 0").groupBy("cls").agg(
         F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("check").alias("check"), F.max("check").alias("last")
@@ -282,11 +286,11 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     linked = _linked_classes(docs, scanned, classes, size, percent)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = materialize(named.join(least, "root").select("cls", "component_id"))
+    by_class = materialize(named.join(least, "root").select("cls", "root", "component_id"))
     joined = rows.join(by_class, "cls", "left")
     alone = F.col("n") == 0
     return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"),
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"), "root",
         F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
 
@@ -337,6 +341,26 @@ def _linked_classes(docs: DataFrame, scanned: DataFrame, classes: DataFrame, siz
     return components(every) if more.limit(1).count() else roots
 
 
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each component: the least id, then the least text hash.
+
+    All columns are kept. Texts without a shingle are linked with nothing and
+    all stay.
+    """
+    found = link_components(docs, size, percent)
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    # Null ids come last.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = found.filter("root is not null").groupBy("root").agg(F.min(order).alias("f")).select("f.doc_id", "f.text_hash")
+    first = first.select(id_text.alias("__id"), F.col("text_hash").alias("__text"), F.lit(True).alias("__first"))
+    alone = found.filter("root is null").select(id_text.alias("__id"), F.col("text_hash").alias("__text"), F.lit(False).alias("__first")).distinct()
+    keyed = docs.withColumns({"__id": id_text, "__text": F.xxhash64("text")})
+    same = W.partitionBy("__id", "__text").orderBy(F.lit(0))
+    kept = keyed.join(first.union(alone), ["__id", "__text"]).withColumn("__nth", F.row_number().over(same))
+    # Of equal rows one stays, as they are in one component.
+    return kept.filter("not __first or __nth = 1").select(*docs.columns)
+
+
 def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = link_components(spark.read.parquet(f"{folder}/documents.parquet"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id")

@@ -16,6 +16,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 WORD = r"[^\x20\x09-\x0D]+"
 BITS, LEVELS = 12, 5
+ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -64,8 +65,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     source of its own, the last in order. Equal rows have one hash and are
     taken alike. An empty table gives an empty result.
     """
-    added = ("size", "source_size", "target", "copies", "taken")
-    docs = docs.select([c for c in docs.columns if c not in added])
+    docs = docs.select([c for c in docs.columns if c not in ADDED])
     keyed = docs.withColumns({"size": word_count(F.col("text")), "__hash": _hash(seed), "__text": F.xxhash64("text")})
     sized = materialize(keyed.select("doc_id", "__text", "source", "size", "__hash"))
     plan = mix_sizes(sized, weights, most)
@@ -137,6 +137,14 @@ def _refine(sized: DataFrame, edge: DataFrame, level: int) -> DataFrame:
     return chosen
 
 
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix takes it."""
+    own = {name: f"__own_{name}" for name in ADDED if name in docs.columns}
+    taken = mix(docs.withColumnsRenamed(own)).withColumnRenamed("copies", "__copies")
+    again = taken.filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return again.select(*(F.col(own.get(name, name)).alias(name) for name in docs.columns))
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(spark.read.parquet(f"{folder}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")

@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from llm.brute import payload_digest
+from tallyframe.llm import token_ids as I, warc as A
+from tallyframe.llm.perfect_hash import PerfectHash, fingerprint
+from tallyframe.llm.shared import new_folder, open_path
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rng = random.Random(4)
+    bodies = [None, "", "<p>a</p>", "ü" * 5000, "x" * 300_000]
+    rows = [(i, rng.choice(["http://a.b/ c\r\nX: y", None, "http://d"]), rng.choice(bodies)) for i in range(60)]
+    rows += [(3, "again", "<p>a</p>"), (3, "again", "<p>a</p>"), (None, "none", "only here"), (None, "none", "<p>a</p>")]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), rows
+
+
+def test_round_trip(spark, pages):
+    frame, rows = pages
+    got = A.read_warc(spark, A.write_warc(frame, new_folder(spark, "test-warc"))).collect()
+    assert len(got) == len(rows)
+    by_payload = {}
+    for page_id, _, html in rows:
+        by_payload.setdefault((html or "").encode(), []).append(page_id)
+    for payload, ids in by_payload.items():
+        own = [r for r in got if r.payload_digest == payload_digest(payload)]
+        assert len(own) == len(ids) and all(r.payload_bytes == len(payload) for r in own)
+        first = min((i for i in ids if i is not None), default=None)
+        (response,) = [r for r in own if r.record_type == "response"]
+        name = "urn:page:" + ("" if first is None else str(first))
+        assert response.record_id == name and bytes(response.payload) == payload
+        assert all(r.refers_to == name and r.payload is None for r in own if r is not response)
+    assert len({r.record_id for r in got}) >= len(rows) - 1
+    assert any(r.target_uri == "http://a.b/%20c%0D%0AX:%20y" for r in got)
+
+
+def test_empty_archive(spark, pages):
+    assert A.read_warc(spark, A.write_warc(pages[0].limit(0), new_folder(spark, "test-warc"))).count() == 0
+
+
+def archive(*payloads: bytes) -> bytes:
+    import hashlib
+
+    return b"".join(A.record("response", f"urn:page:{i}", "u", p, hashlib.sha1(p).digest(), None) for i, p in enumerate(payloads))
+
+
+def test_reader_takes_any_piece_size():
+    data = archive(b"", b"a" * 70_000, b"\r\n\r\nWARC/1.1\r\n", bytes(range(256)) * 900)
+    for size in (1, 7, 1000, 1 << 20):
+        source = io.BytesIO(data)
+        rows = list(A.read_records(lambda _: source.read(size), True))
+        assert [len(r["payload"]) for r in rows] == [0, 70_000, 14, 230_400]
+
+
+@pytest.mark.parametrize("harm", ["cut", "digest", "length", "magic"])
+def test_reader_finds_faults(harm):
+    data = archive(b"first", b"second" * 100)
+    if harm == "cut":
+        data = data[:-9]
+    else:
+        plain = zlib.decompress(data, A.GZIP)
+        change = {"digest": (b"first", b"fIrst"), "length": (b"Content-Length: 5", b"Content-Length: 6"), "magic": (b"WARC/1.1", b"XARC/1.1")}[harm]
+        if harm == "length":
+            size = int(plain.rpartition(b"Content-Length: ")[2][:1] or 0)
+            head = plain.index(b"\r\nContent-Length: ") + 2
+            end = plain.index(b"\r\n", head)
+            plain = plain[:head] + b"Content-Length: %d" % (int(plain[head + 16 : end]) - 1) + plain[end:]
+        else:
+            plain = plain.replace(*change, 1)
+        member = zlib.compressobj(6, zlib.DEFLATED, A.GZIP)
+        data = member.compress(plain) + member.flush()
+    source = io.BytesIO(data)
+    with pytest.raises(ValueError):
+        list(A.read_records(source.read, False))
+
+
+def plain_ids(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(I.public_tokenizer()).encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_ids_of_odd_rows(odd_docs, odd_rows):
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in I.ids_of(odd_docs).collect()]
+    want = sorted((i, len(plain_ids(t)), zlib.crc32(np.array(plain_ids(t), "<u4").tobytes())) for i, t, *_ in odd_rows if i is not None)
+    assert sorted((i, n, c) for i, _, n, c in got if i is not None) == want and len(got) == len(odd_rows)
+    at = 0
+    for doc_id, start, count, _ in sorted(got, key=lambda r: r[1]):
+        assert start == at
+        at += count
+    ids = [r[0] for r in sorted(got, key=lambda r: r[1])]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+
+
+def test_ids_as_such_and_strangers(spark, odd_docs, odd_rows):
+    folder = I.write_ids(odd_docs, I.public_tokenizer(), new_folder(spark, "test-ids"))
+    keys = spark.createDataFrame([(5,), (2,), (777,)], "doc_id bigint")
+    got = {r.doc_id: r.ids for r in I.read_ids(keys, folder).collect()}
+    texts = {i: t for i, t, *_ in odd_rows}
+    assert got == {5: plain_ids(texts[5]), 2: [1]}
+    assert I.read_ids(keys.limit(0), folder).count() == 0
+
+
+def test_no_ids(no_docs):
+    assert I.ids_of(no_docs).count() == 0
+
+
+def test_words_are_encoded_as_in_their_text():
+    rng = random.Random(8)
+    letters = list("abcDEZ'sté.,!? \n\t 　İΣσß́̇<|>end123½②中文字😀‍٣") + ["<|endoftext|>", "'ll", "'re ", "ẛ̣", "<|ENDOFTEXT|>"]
+    for _ in range(1500):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        assert np.frombuffer(I.encode([text], I.public_tokenizer())[0], "<u2").tolist() == plain_ids(text)[:-1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
+def test_perfect_hash(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**63, n, dtype=np.int64).astype(np.uint64))
+    table, columns = PerfectHash.load(PerfectHash.build(keys).dump(prints=fingerprint(keys)))
+    assert sorted(table.number(keys).tolist()) == list(range(len(keys))) and len(columns["prints"]) == len(keys)
+    with pytest.raises(ValueError):
+        PerfectHash.build(np.array([5, 5], np.uint64))
+
+
+def test_shared_paths(tmp_path):
+    for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert open_path(uri)[1] == str(tmp_path)
