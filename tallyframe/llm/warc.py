@@ -62,8 +62,9 @@ def record(kind: str, record_id: str, url: str | None, payload: bytes, sha1: byt
     return member.compress(head + block + b"\r\n\r\n") + member.flush()
 
 
-def _page_uri(page_id: int | None, nth: int) -> str:
-    return f"urn:page:{'' if page_id is None else page_id}" + (f":{nth}" if nth else "")
+def _page_uri(page_id: int | None, nth: int, sha1: bytes) -> str:
+    """A name for one record: ids may repeat, with one payload or several."""
+    return f"urn:page:{'' if page_id is None else page_id}:{nth}:{sha1.hex()[:16]}"
 
 
 def _write_archives(folder: str):
@@ -78,11 +79,11 @@ def _write_archives(folder: str):
                         name, count = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = system.open_output_stream(f"{root}/{name}", compression=None)
                     payload = (html.as_py() or "").encode()
-                    again = revisit.as_py()
+                    again, sha1 = revisit.as_py(), hashlib.sha1(payload).digest()
                     out.write(
                         record(
-                            "revisit" if again else "response", _page_uri(page_id.as_py(), nth.as_py()), url.as_py(),
-                            payload, hashlib.sha1(payload).digest(), _page_uri(first.as_py(), 0) if again else None,
+                            "revisit" if again else "response", _page_uri(page_id.as_py(), nth.as_py(), sha1), url.as_py(),
+                            payload, sha1, _page_uri(first.as_py(), 0, sha1) if again else None,
                         )
                     )
                     count += 1

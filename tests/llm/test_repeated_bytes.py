@@ -3,12 +3,13 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from llm.brute import without_repeats
 from llm.conftest import SCHEMA, prose
-from tallyframe.llm import repeated_bytes as R
+from tallyframe.llm import repeated_bytes as R, vec
 from tallyframe.plans.lineage import materialize
 
 
@@ -49,7 +50,13 @@ def test_kept_bytes_are_what_is_left(spark):
     assert kept == {1: "start " + text, 2: "before after"}
 
 
-def test_changed_parts_fail(spark, odd_rows):
-    docs = spark.createDataFrame([r[:2] for r in odd_rows], "doc_id bigint, text string").repartition(3, F.rand())
-    with pytest.raises(Exception, match="changed between scans"):
-        R.remove_repeated(docs.filter(F.rand() < 0.7)).collect()
+def test_changed_parts_fail(tmp_path):
+    """A scan that sees other documents than the one before stops."""
+    data, offsets = vec.string_bytes(pa.array(["some text", "and more"]))
+    filed = R.Filed(str(tmp_path), 0)
+    with pytest.raises(ValueError, match="changed between scans"):
+        filed.check(R.Held(np.array([1, 2]), data, offsets))
+    filed.marks = {R._part_mark(np.array([1, 2]), offsets)}
+    filed.check(R.Held(np.array([1, 2]), data, offsets))
+    with pytest.raises(ValueError, match="changed between scans"):
+        filed.check(R.Held(np.array([1, 3]), data, offsets))
