@@ -56,6 +56,10 @@ def last_points(samples: DataFrame, key: str, points: int = POINTS) -> DataFrame
 # and the ranges then fire on their own.
 
 
+#: Crossings that one task holds at once in the cool-down rule.
+ROWS_PER_RANGE = 200_000
+
+
 def _next_allowed(times: np.ndarray, wait: int) -> np.ndarray:
     """For each fire the place of the next one: the first time at least ``wait`` later."""
     return np.searchsorted(times, times + wait, side="left")
@@ -86,6 +90,8 @@ def cool_down(
 
     Exact for any distribution of samples over series. One range shuffle, one
     shuffle of the ranges into tasks, and summaries of a few rows per range.
+    There are as many ranges as ``ROWS_PER_RANGE`` asks for, so what a task
+    holds at once does not grow with the table.
     """
     wait = seconds * 1_000_000
     kinds = dict(samples.dtypes)
@@ -100,8 +106,9 @@ def cool_down(
         F.coalesce(named, F.lit("")).alias("__series"),
         F.timestamp_diff("MICROSECOND", epoch, "ts").alias("__us"),
     )
+    count = max(1, -(-hits.count() // ROWS_PER_RANGE))
     ranges = materialize(
-        hits.repartitionByRange("__series", "__us", "event_id").withColumn(
+        hits.repartitionByRange(count, "__series", "__us", "event_id").withColumn(
             "__range", F.spark_partition_id()
         )
     )

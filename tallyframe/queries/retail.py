@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
@@ -296,16 +295,13 @@ def sql_distinct_products(t: Tables):
 @query("q_customers_without_orders", """
     SELECT c_custkey, c_name FROM customer c
     WHERE NOT EXISTS (
-        SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey
-        AND o.o_orderdate >= DATE '1997-01-01' AND o.o_orderdate < DATE '1997-04-01')""")
+        SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_custkey % 3 <> 0)""")
 def customers_without_orders(t: Tables):
-    """Customers without an order in a quarter; every customer has one at some time."""
-    placed = t.orders.select(F.col("o_custkey").alias("customer_id"), "o_orderdate")
-    quarter = insights.sales_between(
-        placed, dt.date(1997, 1, 1), dt.date(1997, 4, 1), "o_orderdate"
-    )
+    """Customers that never ordered, over all orders; those of every third customer name nobody."""
+    buyer = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey"))
+    placed = t.orders.select(buyer.alias("customer_id"))
     people = t.customer.select(F.col("c_custkey").alias("customer_id"), "c_name")
-    idle = insights.customers_without_orders(people, quarter)
+    idle = insights.customers_without_orders(people, placed)
     return idle.select(F.col("customer_id").alias("c_custkey"), "c_name")
 
 

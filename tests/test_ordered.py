@@ -82,7 +82,8 @@ def fires(rows, limit, wait):
 
 
 @pytest.mark.parametrize("seed,span", [(1, 2_000), (2, 20_000), (3, 200_000), (4, 300)])
-def test_cool_down_with_a_series_over_many_ranges(spark, seed, span):
+def test_cool_down_with_a_series_over_many_ranges(spark, seed, span, monkeypatch):
+    monkeypatch.setattr(alerts, "ROWS_PER_RANGE", 40)
     rng = random.Random(seed)
     rows = [
         ("hot" if rng.random() < 0.5 else rng.choice([None, None, *"abcdef"]), i, rng.randint(0, span),
