@@ -30,7 +30,7 @@ from tallyframe.llm.shared import new_folder, open_path
 U64 = vec.U64
 WINDOW, PIECE = 50, 20
 #: Documents of about so many bytes are looked at together; runs they share need no pass.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 8 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -76,7 +76,8 @@ class Bytes:
         last = np.append(first[1:], len(begin)) - 1
         where = (least[first] & ((U64(1) << low) - U64(1))).astype(np.int64)
         a, b = begin[first], begin[last[: len(first)]]
-        return text[first], piece[where], a, b, self.spans(a, b + WINDOW)
+        # 48 bits of a piece are enough to bring runs together; what they hold is told apart by content.
+        return text[first], piece[where] >> U64(16), a, b, self.spans(a, b + WINDOW)
 
 
 class Held:
@@ -155,7 +156,11 @@ def _part_mark(ids: np.ndarray, offsets: np.ndarray) -> int:
 
 
 def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (piece, content, doc, part) of fresh runs; content null: the mark of a group of documents."""
+    """Rows (doc, part, content, piece) of fresh runs; content null: the mark of a group of documents.
+
+    The short piece stands last, where its empty bytes and the head of the next
+    row are packed as one in a shuffle.
+    """
     for part, _, held in _held(batches):
         keep = np.flatnonzero(held.fresh)
         # A text may have a run twice.
@@ -163,12 +168,12 @@ def _scan_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = pa.array([_part_mark(held.ids, held.offsets)], pa.int64())
         yield pa.RecordBatch.from_arrays(
             [
-                pa.concat_arrays([pa.array(held.piece[keep].view(np.int64)), mark]),
-                pa.concat_arrays([pa.array(held.content[keep].view(np.int64)), pa.nulls(1, pa.int64())]),
                 pa.concat_arrays([pa.array(held.doc[keep]), mark]),
                 pa.array(np.full(len(keep) + 1, part, np.int32)),
+                pa.concat_arrays([pa.array(held.content[keep].view(np.int64)), pa.nulls(1, pa.int64())]),
+                pa.concat_arrays([pa.array(held.piece[keep].view(np.int64)), mark]),
             ],
-            names=["piece", "content", "doc", "part"],
+            names=["doc", "part", "content", "piece"],
         )
 
 
@@ -300,7 +305,7 @@ def remove_repeated(docs: DataFrame, digest: bool = False) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id"), F.col("text"), F.spark_partition_id().alias("part"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    runs = rows.mapInArrow(_scan_runs, "piece bigint, content bigint, doc bigint, part int")
+    runs = rows.mapInArrow(_scan_runs, "doc bigint, part int, content bigint, piece bigint")
     # One shuffle and one sort serve both: by piece, then content.
     least = F.min("doc").over(W.partitionBy("piece", "content"))
     piece = W.partitionBy("piece")
