@@ -12,6 +12,7 @@ where its sets are not yet connected.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -27,10 +28,15 @@ U64 = vec.U64
 #: Tokens are counted in runs of so many; those seen thrice in one may be frequent.
 RUN_TOKENS, LEAST_IN_RUN = 4 << 20, 3
 #: At most this many tokens are frequent: the least count is the sum of counts over it.
-MOST_FREQUENT, LEAST_COUNT, NEXT_CLASS = 500_000, 16, 16
+MOST_FREQUENT, LEAST_COUNT, NEXT_CLASS = 1_000_000, 8, 16
 #: Tokens of a frequent class are dealt into parts, about one for each 16 tokens of a set.
 PART_TOKENS = 16
 BITMAP_LONGS = 32
+#: So many ids (8 bytes each) may be sent to every task.
+BROADCAST_IDS = 1_000_000
+#: Steps to the partners of a class in a group that is not connected yet.
+PARTNERS = (1, 2, 4, 8)
+BITS = [f"b{k}" for k in range(BITMAP_LONGS)]
 
 
 # -- sets -----------------------------------------------------------------
@@ -77,16 +83,24 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def bitmaps(made: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of longs for each set: the parity of its tokens by place."""
+    places, rows = 64 * BITMAP_LONGS, len(at) - 1
+    text = np.repeat(np.arange(rows), np.diff(at))
+    odd = np.bincount(text * places + ((made >> U64(7)) % U64(places)).astype(np.int64), minlength=rows * places) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64).reshape(rows, BITMAP_LONGS)
+
+
 def _scan(size: int):
-    """Rows of documents (kind 0: size and digests) and of tokens that are often met (kind 1: token and count)."""
+    """Rows of documents (kind 0: size, digests and bitmap) and of tokens that are often met (kind 1: token and count)."""
 
     def often(tokens: list[np.ndarray], like: pa.DataType) -> pa.RecordBatch:
         found, count = np.unique(np.concatenate(tokens), return_counts=True)
         found, count = found[count >= LEAST_IN_RUN], count[count >= LEAST_IN_RUN]
         none = pa.nulls(len(found), like)
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(found), np.int32)), none, pa.nulls(len(found), pa.int64()), pa.array(count.astype(np.int64)), _signed(found), _signed(np.zeros(len(found), U64))],
-            names=["kind", "doc_id", "text_hash", "n", "cls", "check"],
+            [pa.array(np.ones(len(found), np.int32)), none, pa.nulls(len(found), pa.int64()), pa.array(count.astype(np.int64)), _signed(found), *[pa.nulls(len(found), pa.int64())] * (1 + BITMAP_LONGS)],
+            names=["kind", "doc_id", "text_hash", "n", "cls", "check", *BITS],
         )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,9 +109,10 @@ def _scan(size: int):
             like = batch.column(0).type
             for low, high, made, at in _parts(batch, 1, size):
                 one, two = digests(made, at)
+                bits = np.ascontiguousarray(bitmaps(made, at).T)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(high - low, np.int32)), *(batch.column(i).slice(low, high - low) for i in (0, 2)), pa.array(np.diff(at)), _signed(one), _signed(two)],
-                    names=["kind", "doc_id", "text_hash", "n", "cls", "check"],
+                    [pa.array(np.zeros(high - low, np.int32)), *(batch.column(i).slice(low, high - low) for i in (0, 2)), pa.array(np.diff(at)), _signed(one), _signed(two), *map(pa.array, bits)],
+                    names=["kind", "doc_id", "text_hash", "n", "cls", "check", *BITS],
                 )
                 new = [i for i, d in enumerate(one.tolist()) if not (d in seen or seen.add(d))]
                 tokens += [made[at[i] : at[i + 1]] for i in new]
@@ -187,27 +202,16 @@ def _index(size: int, percent: int, sent):
     return index
 
 
-def _sketches(size: int):
-    """Rows (cls, n, set, bits): tokens of each set as bytes, and the parity of tokens by place."""
+def _raw_sets(size: int):
+    """Rows (cls, set): tokens of each set as bytes."""
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, made, at in _parts(batch, 0, size):
-                one, _ = digests(made, at)
-                text = np.repeat(np.arange(high - low), np.diff(at))
-                place = (made >> U64(7)) % U64(64 * BITMAP_LONGS)
-                odd = np.bincount(text * 64 * BITMAP_LONGS + place.astype(np.int64), minlength=(high - low) * 64 * BITMAP_LONGS) & 1
-                bits = np.packbits(odd.astype(bool), bitorder="little").view(np.int64).reshape(high - low, BITMAP_LONGS)
                 raw = [made[at[i] : at[i + 1]].tobytes() for i in range(high - low)]
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(one), pa.array(np.diff(at).astype(np.int32)), pa.array(raw, pa.binary()), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(BITMAP_LONGS))],
-                    names=["cls", "n", "set", *BITS],
-                )
+                yield pa.RecordBatch.from_arrays([_signed(digests(made, at)[0]), pa.array(raw, pa.binary())], names=["cls", "set"])
 
-    return sketch
-
-
-BITS = [f"b{k}" for k in range(BITMAP_LONGS)]
+    return sets
 
 
 # -- pairs ----------------------------------------------------------------
@@ -224,8 +228,9 @@ def _may_link(left: str, right: str, percent: int) -> Column:
     With u the union and d the tokens of only one, u - d >= u * percent / 100
     and u <= (n + m + d) / 2, so d is at most (n + m) * (100 - p) / (100 + p).
     """
-    differ = sum((F.bit_count(F.col(f"{left}.{b}").bitwiseXOR(F.col(f"{right}.{b}"))) for b in BITS), F.lit(0))
-    return differ * (100 + percent) <= (F.col(f"{left}.n") + F.col(f"{right}.n")) * (100 - percent)
+    of = lambda side, name: F.col(f"{side}.{name}" if side else name)
+    differ = sum((F.bit_count(of(left, b).bitwiseXOR(of(right, b))) for b in BITS), F.lit(0))
+    return differ * (100 + percent) <= (of(left, "n") + of(right, "n")) * (100 - percent)
 
 
 def _verify(percent: int):
@@ -243,21 +248,32 @@ def _verify(percent: int):
     return verify
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Of candidate pairs (a, b) those that are similar by their whole sets."""
-    sets = sketches.select("cls", "set")
-    full = pairs.join(sets.withColumnsRenamed({"cls": "a", "set": "sa"}), "a").join(sets.withColumnsRenamed({"cls": "b", "set": "sb"}), "b")
-    return full.select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a bigint, b bigint")
-
-
-def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those that the bitmaps allow."""
-    bits = sketches.select("cls", "n", *BITS)
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) those that sizes and bitmaps allow."""
+    bits = classes.select("cls", "n", *BITS)
     l, r = bits.withColumnRenamed("cls", "a").alias("l"), bits.withColumnRenamed("cls", "b").alias("r")
     joined = pairs.join(l, "a").join(r, "b")
     return joined.filter(_may_link("l", "r", percent)).select("a", "b")
 
 
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of candidate pairs (a, b) those that are similar by their whole sets."""
+    pairs = materialize(pairs)
+    named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    # The sets are made again, from one document of each class that is asked for.
+    wanted = materialize(classes.join(named, "cls", "left_semi").select(F.col("least").alias("doc_id"), "cls"))
+    some_id = docs.filter("doc_id is null").select("doc_id", "text") if wanted.filter("doc_id is null").limit(1).count() else None
+    ids = wanted.select("doc_id")
+    # Ids that were counted and are few go to the texts; else the texts go to them.
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = texts.union(some_id) if some_id is not None else texts
+    made = texts.select("text").mapInArrow(_raw_sets(size), "cls bigint, set binary")
+    sets = materialize(made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
+    full = pairs.join(sets.withColumnsRenamed({"cls": "a", "set": "sa"}), "a").join(sets.withColumnsRenamed({"cls": "b", "set": "sb"}), "b")
+    return full.select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a bigint, b bigint")
+
+
 def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     """Components of documents whose shingle sets have a Jaccard similarity of ``percent`` or more.
 
@@ -274,15 +290,17 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     scanned = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        _scan(size), f"kind int, doc_id {kind}, text_hash bigint, n bigint, cls bigint, check bigint"
+        _scan(size), f"kind int, doc_id {kind}, text_hash bigint, n bigint, cls bigint, check bigint, " + ", ".join(f"{b} bigint" for b in BITS)
     )
     scanned = materialize(scanned)
-    rows = scanned.filter("kind = 0").drop("kind")
-    classes = rows.filter("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("check").alias("check"), F.max("check").alias("last")
+    rows = scanned.filter("kind = 0").drop("kind", *BITS)
+    sets = scanned.filter("kind = 0 and n > 0")
+    classes = sets.groupBy("cls").agg(
+        F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("check").alias("check"), F.max("check").alias("last"),
+        *(F.min(b).alias(b) for b in BITS),
     )
     one = F.when(F.col("check") == F.col("last"), F.col("cls")).otherwise(F.raise_error(F.lit("two sets with one digest")))
-    classes = materialize(classes.select(one.alias("cls"), "least", "n"))
+    classes = materialize(classes.select(one.alias("cls"), "least", "n", *BITS))
     linked = _linked_classes(docs, scanned, classes, size, percent)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -307,36 +325,63 @@ def _frequent(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens[order], table["k"].to_numpy().astype(np.int64)[order]
 
 
+def _stars(grouped: DataFrame, shift: float, order: Column, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with one of its group and size step; similar sets are at most a step apart."""
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + shift)
+    first = F.min(F.struct(order.alias("o"), "cls", "n")).over(W.partitionBy("sig", step))
+    paired = grouped.withColumn("pivot", first).filter(F.col("cls") != F.col("pivot.cls"))
+    paired = paired.withColumn("pivot_n", F.col("pivot.n")).filter(_near("n", "pivot_n", percent))
+    return paired.select(F.least("cls", "pivot.cls").alias("a"), F.greatest("cls", "pivot.cls").alias("b"))
+
+
+def _open_groups(grouped: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (sig, cls, root, n, bitmap) of groups in more than one component; groups of the same classes once."""
+    rooted = grouped.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
+    members = F.struct(F.count("*"), F.bit_xor(F.xxhash64("cls")), F.bit_xor(F.xxhash64("cls", F.lit(1))))
+    summed = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), members.alias("members"))
+    open_sigs = summed.filter("low <> high").groupBy("members").agg(F.min("sig").alias("sig")).select("sig")
+    return rooted.join(open_sigs, "sig", "left_semi").join(classes.select("cls", "n", *BITS), "cls")
+
+
+def _partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each class with those some steps after it that sizes and bitmaps allow."""
+    order = W.partitionBy("sig").orderBy(F.xxhash64("cls", "sig"))
+    own = F.struct("cls", "root", "n", *BITS)
+    rows = rows.withColumns({f"p{k}": F.lead(own, k).over(order) for k in PARTNERS})
+    found = []
+    for k in PARTNERS:
+        fits = (F.col("root") != F.col(f"p{k}.root")) & _near("n", f"p{k}.n", percent) & _may_link("", f"p{k}", percent)
+        pair = F.struct(F.least("cls", f"p{k}.cls").alias("a"), F.greatest("cls", f"p{k}.cls").alias("b"))
+        found.append(F.when(fits, pair))
+    pairs = rows.select(F.explode(F.array_compact(F.array(*found))).alias("p"))
+    return pairs.select("p.a", "p.b").distinct()
+
+
 def _linked_classes(docs: DataFrame, scanned: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, root) of the classes that are linked with another."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(_frequent(scanned))
     index = docs.select("text").mapInArrow(_index(size, percent, sent), "sig bigint, cls bigint, n int")
     group = W.partitionBy("sig")
-    first = F.min(F.struct("cls", "n"))
-    grouped = index.withColumns({"first": first.over(group), "last": F.max("cls").over(group)}).filter(F.col("first.cls") != F.col("last"))
-    grouped = materialize(grouped.select("sig", "cls", "n", F.col("first.cls").alias("pivot"), F.col("first.n").alias("pivot_n")).distinct())
-    # Sets of the classes that share a signature, from one document each.
-    named = grouped.select("cls").distinct()
-    wanted = docs.select("doc_id", "text").join(classes.join(named, "cls").select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
-    bits = ", ".join(f"{b} bigint" for b in BITS)
-    made = wanted.select("text").mapInArrow(_sketches(size), f"cls bigint, n int, set binary, {bits}")
-    sketches = materialize(made.join(named, "cls", "left_semi").dropDuplicates(["cls"]))
-    star = grouped.filter(F.col("cls") != F.col("pivot")).filter(_near("n", "pivot_n", percent))
-    star = star.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    links = materialize(_links(_possible(star, sketches, percent), sketches, percent))
+    several = F.min("cls").over(group) != F.max("cls").over(group)
+    grouped = materialize(index.withColumn("several", several).filter("several").select("sig", "cls", "n").distinct())
+    star = _stars(grouped, 0.0, F.col("cls"), percent).union(_stars(grouped, 0.5, F.xxhash64("cls"), percent)).distinct()
+    links = materialize(_links(docs, classes, _possible(star, classes, percent), size, percent))
     roots = components(links)
-    # Groups whose classes are not yet in one component are checked pair by pair.
-    rooted = grouped.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
-    open_sigs = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
-    left_open = materialize(rooted.join(open_sigs, "sig", "left_semi").join(sketches.drop("set"), "cls"))
+    # In groups that are not yet in one component each class meets a few others
+    # in an order of the group's own, which connects most that belong together.
+    met = _partners(_open_groups(grouped, roots, classes), percent)
+    links = materialize(links.union(_links(docs, classes, met, size, percent)))
+    roots = components(links)
+    # What is still apart is checked pair by pair.
+    left_open = materialize(_open_groups(grouped, roots, classes))
     l, r = left_open.alias("l"), left_open.alias("r")
     on = (
         (F.col("l.sig") == F.col("r.sig")) & (F.col("l.cls") < F.col("r.cls")) & (F.col("l.root") != F.col("r.root"))
         & _near("l.n", "r.n", percent) & _may_link("l", "r", percent)
     )
     cross = l.join(r, on).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")).distinct()
-    more = materialize(_links(cross, sketches, percent))
+    more = materialize(_links(docs, classes, cross, size, percent))
     every = more.union(roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     return components(every) if more.limit(1).count() else roots
 
