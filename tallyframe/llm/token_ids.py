@@ -13,6 +13,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,46 +37,51 @@ _loaded: dict[str, tuple] = {}
 
 
 def _tokenizer(path: str) -> tuple:
-    """The tokenizer, the type its ids are stored in, and which ids end a word."""
+    """The tokenizer and the type its ids are stored in."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         found = Tokenizer.from_file(path)
-        vocabulary = found.get_vocab()
-        ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        _loaded[path] = found, "<u2" if len(ends) <= 1 << 16 else "<u4", ends
+        _loaded[path] = found, "<u2" if max(found.get_vocab().values()) < 1 << 16 else "<u4"
     return _loaded[path]
 
 
-def _plain(word: str) -> bool:
-    """Letters only, also in lower case: the tokenizer keeps such a word in one piece."""
-    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+# Letters of ASCII and Latin-1: lower case is letter by letter and nothing composes.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Which letter stands for each byte in the vocabulary: visible bytes for
+    themselves, the others for the letters from U+0100 on, in order."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [byte for byte in range(256) if byte not in shown]
+    return {byte: byte if byte in shown else 256 + hidden.index(byte) for byte in range(256)}
+
+
+_LETTERS = _byte_letters()
 
 
 def _encode_new(new: set[str], path: str) -> dict[str, bytes]:
-    """Ids of words not met before. Plain words are encoded many at a time and
-    parted where an id ends a word; a block that does not part so, and every
-    other word, is encoded word by word."""
-    tokenizer, kind, ends = _tokenizer(path)
-    plain = [word for word in new if _plain(word)]
-    single, made = [word for word in new if not _plain(word)], {}
-    for low in range(0, len(plain), JOINED):
-        block = plain[low : low + JOINED]
-        ids = np.array(tokenizer.encode(" ".join(block), add_special_tokens=False).ids, kind)
-        cuts = np.flatnonzero(ends[ids]) + 1
-        if len(cuts) != len(block) or cuts[-1] != len(ids):
-            single += block
-            continue
-        data, width, begin = ids.tobytes(), ids.itemsize, 0
-        for word, cut in zip(block, (cuts * width).tolist()):
-            made[word] = data[begin:cut]
-            begin = cut
-    for low in range(0, len(single), JOINED):
-        block = single[low : low + JOINED]
+    """Ids of words not met before.
+
+    A word of plain letters is one piece to the tokenizer, so its lower case
+    goes straight to the library's model; other words go through it whole.
+    """
+    tokenizer, kind = _tokenizer(path)
+    model, code = tokenizer.model, "H" if kind == "<u2" else "I"
+    made, whole = {}, []
+    for word in new:
+        if _PLAIN.fullmatch(word):
+            low = word.lower()
+            found = model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(_LETTERS))
+            made[word] = array(code, [token.id for token in found]).tobytes()
+        else:
+            whole.append(word)
+    for low in range(0, len(whole), JOINED):
+        block = whole[low : low + JOINED]
         for word, found in zip(block, tokenizer.encode_batch(block, add_special_tokens=False)):
-            made[word] = np.array(found.ids, kind).tobytes()
+            made[word] = array(code, found.ids).tobytes()
     return made
 
 
@@ -88,9 +94,11 @@ def encode(texts: list[str], path: str) -> list[bytes]:
     up apart.
     """
     kept = _kept.setdefault(path, {})
-    split = [WORD.findall(text) for text in texts]
-    unknown = {word for found in split for word in found if word not in kept}
-    parts = {w: (w[:-1], w[-1]) if w[-1] in ".,!?;:" and _plain(w[:-1]) else (w,) for w in unknown}
+    # The tokenizer lower-cases all but its special tokens ("<|..."); where that
+    # is plain, it is done here and fewer words are new.
+    split = [WORD.findall(text.lower() if text.isascii() and "<|" not in text else text) for text in texts]
+    unknown = set().union(*split).difference(kept)
+    parts = {w: (w[:-1], w[-1]) if w[-1] in ".,!?;:" and _PLAIN.fullmatch(w[:-1]) else (w,) for w in unknown}
     pieces = {piece for found in parts.values() for piece in found}
     local = _encode_new({piece for piece in pieces if piece not in kept}, path)
     for word, found in parts.items():
