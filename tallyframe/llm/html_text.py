@@ -5,7 +5,9 @@ menus, forms, adverts and the like is marked and weighs nothing; the weight of
 any other line is its text less its link text. Weights are summed over sliding
 windows of lines: where the sum jumps up the article surges, where it falls to
 nothing it dives, and the text between is kept. Where the page names its
-article, only lines inside it have weight.
+article, only lines inside the outermost such element have weight (the largest,
+if several stand side by side). Any weight is a surge there, and only a list of
+links, a window of lines or longer, is a dive.
 """
 
 from __future__ import annotations
@@ -60,7 +62,7 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Line:
     text: str
     links: int
-    article: int  # number of the article element it is in, 0: none
+    article: int  # number of the outermost article element it is in, 0: none
     outside: bool
     heading: bool
 
@@ -133,7 +135,7 @@ def lines_of(page: str) -> list[Line]:
             # An article never stands inside a menu or an advert: one that was not closed ends here.
             skip = [s for s in skip if s[2] > 0] if not open_articles else skip
             if not skip:
-                articles += 1
+                articles += not open_articles
                 open_articles.append((name, articles, 1))
                 continue
         inside = bool(open_articles)
@@ -153,10 +155,11 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
-def surge_and_dive(weights: list[int]) -> list[tuple[int, int]]:
+def surge_and_dive(weights: list[int], need: float | None = None) -> list[tuple[int, int]]:
     """Line ranges from a surge to its dive. A window sums ``WINDOW`` lines from its first on."""
     windows = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
-    need = min(SURGE_CHARS, SURGE_SHARE * max(windows, default=0))
+    if need is None:
+        need = min(SURGE_CHARS, SURGE_SHARE * max(windows, default=0))
     ranges, begin = [], None
     for i, total in enumerate(windows):
         if begin is None and weights[i] and total > need:
@@ -169,6 +172,19 @@ def surge_and_dive(weights: list[int]) -> list[tuple[int, int]]:
     return ranges
 
 
+def _but_link_lists(lines: list[Line], weights: list[int], begin: int, end: int) -> list[int]:
+    """Unmarked lines of a dive, without those of lists of links (a window or more of them in a row)."""
+    kept, run = [], []
+    for i in range(begin, end):
+        if not lines[i].outside and not weights[i]:
+            run.append(i)
+            continue
+        kept += run if len(run) < WINDOW else []
+        kept += [] if lines[i].outside else [i]
+        run = []
+    return kept + (run if len(run) < WINDOW else [])
+
+
 def main_text(page: str) -> str:
     """The article's blocks joined by line ends; empty if the page has none."""
     lines = lines_of(page)
@@ -176,12 +192,18 @@ def main_text(page: str) -> str:
     for line in lines:
         if line.article and not line.outside:
             sizes[line.article] = sizes.get(line.article, 0) + len(line.text)
-    if sizes:
-        # The page names its article (the largest, if several): all of it is kept.
-        chosen = max(sizes, key=lambda k: (sizes[k], -k))
-        return "\n".join(line.text for line in lines if line.article == chosen and not line.outside)
+    chosen = max(sizes, key=lambda k: (sizes[k], -k), default=0)
+    for line in lines:
+        line.outside = line.outside or line.article != chosen
     weights = [0 if line.outside else max(0, len(line.text) - 2 * line.links) for line in lines]
-    ranges = surge_and_dive(weights)
+    ranges = surge_and_dive(weights, 0 if chosen else None)
+    if chosen:
+        # The page names its article: all ranges are of it, and so are single links around them.
+        kept = [i for begin, end in ranges for i in range(begin, end) if not lines[i].outside]
+        dives = zip([0, *(end for _, end in ranges)], [*(begin for begin, _ in ranges), len(lines)])
+        for begin, end in dives:
+            kept += _but_link_lists(lines, weights, begin, end)
+        return "\n".join(lines[i].text for i in sorted(kept))
     if not ranges:
         return ""
     begin, end = max(ranges, key=lambda r: (sum(weights[r[0] : r[1]]), -r[0]))

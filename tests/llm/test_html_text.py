@@ -55,3 +55,24 @@ def test_any_bytes_give_text():
     rng = random.Random(1)
     for _ in range(500):
         H.main_text("".join(rng.choice(["<p>", "</p>", "<div class='ad'>", "</div>", "<article>", "</article>", "text ", "&amp", "<", ">", "\"", "<!--", "-->", "<script>"]) for _ in range(40)))
+
+
+WORDS = "A paragraph of the article that is long enough to be a surge by itself, number {} of them."
+LIST = "<ul>" + "".join(f'<li><a href="/{k}">Another page of ours</a></li>' for k in range(3)) + "</ul>"
+
+
+@pytest.mark.parametrize("page", [
+    "<main><h1>Head</h1><article><p>{0}</p></article></main>",
+    "<article><h1>Head</h1><div itemprop='articleBody'><p>{0}</p></div></article>",
+    "<main><article><h1>Head</h1></article><div role='main'><p>{0}</p></div></main><article><p>Short.</p></article>",
+])
+def test_nested_articles_are_one(page):
+    text = WORDS.format(1)
+    assert H.main_text(page.format(text)) == f"Head\n{text}"
+
+
+def test_surge_and_dive_run_inside_a_named_article():
+    """A list of links dives, short lines and single links stay, marked lines part nothing."""
+    ads = "<div class='ad'><p>One.</p><p>Two.</p><p>Three.</p></div>"
+    page = f"<p>{WORDS}</p><article><h1><a href='/'>Head</a></h1><p>By me</p>{ads}<p>Short.</p>{LIST}<p>{WORDS}</p><p><a href='/s'>Source</a></p></article>"
+    assert H.main_text(page) == f"Head\nBy me\nShort.\n{WORDS}\nSource"
