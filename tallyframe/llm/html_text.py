@@ -197,20 +197,19 @@ def main_text(page: str) -> str:
         line.outside = line.outside or line.article != chosen
     weights = [0 if line.outside else max(0, len(line.text) - 2 * line.links) for line in lines]
     ranges = surge_and_dive(weights, 0 if chosen else None)
-    if chosen:
-        # The page names its article: all ranges are of it, and so are single links around them.
-        kept = [i for begin, end in ranges for i in range(begin, end) if not lines[i].outside]
-        dives = zip([0, *(end for _, end in ranges)], [*(begin for begin, _ in ranges), len(lines)])
-        for begin, end in dives:
-            kept += _but_link_lists(lines, weights, begin, end)
-        return "\n".join(lines[i].text for i in sorted(kept))
-    if not ranges:
-        return ""
-    begin, end = max(ranges, key=lambda r: (sum(weights[r[0] : r[1]]), -r[0]))
-    while begin and lines[begin - 1].heading and not lines[begin - 1].outside:
-        begin -= 1
-    kept = [line for line in lines[begin:end] if not line.outside and len(line.text) > line.links * 1.2]
-    return "\n".join(line.text for line in kept)
+    kept = [i for begin, end in ranges for i in range(begin, end)]
+    dives = list(zip([0, *(end for _, end in ranges)], [*(begin for begin, _ in ranges), len(lines)]))
+    if not chosen:
+        # Only headings before the first surge; nothing after the last dive.
+        begin = dives[0][1]
+        while begin and ranges and lines[begin - 1].heading and not lines[begin - 1].outside:
+            begin -= 1
+        kept += range(begin, dives[0][1])
+        dives = dives[1:-1]
+    # What stands between ranges is of the article, and where the page names it also what is around them.
+    for begin, end in dives:
+        kept += _but_link_lists(lines, weights, begin, end)
+    return "\n".join(lines[i].text for i in sorted(kept) if not lines[i].outside)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,3 +76,17 @@ def test_surge_and_dive_run_inside_a_named_article():
     ads = "<div class='ad'><p>One.</p><p>Two.</p><p>Three.</p></div>"
     page = f"<p>{WORDS}</p><article><h1><a href='/'>Head</a></h1><p>By me</p>{ads}<p>Short.</p>{LIST}<p>{WORDS}</p><p><a href='/s'>Source</a></p></article>"
     assert H.main_text(page) == f"Head\nBy me\nShort.\n{WORDS}\nSource"
+
+
+@pytest.mark.parametrize("between", ["<aside><p>One.</p><p>Two.</p><p>Three.</p></aside>", "<div class='share'><p>One.</p><p>Two.</p><p>Three.</p><p>Four.</p></div>", LIST])
+def test_ranges_of_one_article_are_all_kept(between):
+    """Pages that name no article: a dive amid the article takes away no part of it."""
+    first, last = WORDS.format(1), " ".join(WORDS.format(k) for k in (2, 3))
+    page = f"<nav><a href='/'>Home</a></nav><div><h1>Head</h1><p>{first}</p>{between}<p>Short.</p>{between}<p>{last}</p></div><footer>&copy; all of it</footer>"
+    assert H.main_text(page) == f"Head\n{first}\nShort.\n{last}"
+
+
+def test_a_paragraph_that_is_a_link_stays():
+    texts = [WORDS.format(k) for k in range(3)]
+    page = f"<div><p>{texts[0]}</p><p><a href='/x'>{texts[1]}</a></p><p>{texts[2]}</p></div>"
+    assert H.main_text(page) == "\n".join(texts)
