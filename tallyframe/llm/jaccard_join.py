@@ -134,6 +134,11 @@ def missing(n, percent: int):
     return n * (100 - percent) // 100
 
 
+def links_apart(n, percent: int):
+    """Whether a set of ``n`` can link with an unequal one: it lacks a token of that, or that one of it."""
+    return n * 100 // percent > n
+
+
 def combined(parts: list[list[int]], k: int, salt: int) -> list[int]:
     """A value for each combination of k tokens of one part."""
     return [(sum(c) + salt) & 0xFFFFFFFFFFFFFFFF for part in parts for c in combinations(part, k)]
@@ -170,7 +175,7 @@ def _index(size: int, percent: int, sent):
             for low, high, made, at in _parts(batch, 0, size):
                 one, _ = digests(made, at)
                 n = np.diff(at)
-                fresh = np.array([not (d in seen or seen.add(d)) for d in one.tolist()], bool) & (missing(n, percent) > 0)
+                fresh = np.array([not (d in seen or seen.add(d)) for d in one.tolist()], bool) & links_apart(n, percent)
                 if len(seen) > 1_000_000:
                     seen.clear()
                 need = np.where(fresh, missing(n, percent) + 1, 0)

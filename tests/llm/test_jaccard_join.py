@@ -111,3 +111,46 @@ def test_sets_are_distinct_and_ordered():
     assert np.diff(at).tolist() == [2, 0, 0, 1, 2]
     for low, high in zip(at[:-1], at[1:]):
         assert (np.diff(made[low:high].astype(object)) > 0).all()
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
+def test_short_texts_link_with_one_word_more(spark, size, percent, monkeypatch):
+    """Sets of 1 to 8 shingles and the same with a word before or after, rare and frequent."""
+    monkeypatch.setattr(J, "LEAST_COUNT", 5)
+    monkeypatch.setattr(J, "NEXT_CLASS", 4)
+    rows = []
+    for n in range(1, 9):
+        for group in range(3):
+            words = [f"w{n}-{group}-{i}" for i in range(n + size - 1)]
+            for text in (words, ["before", *words], [*words, "after"], ["other", *words[1:]]):
+                rows.append((len(rows), " ".join(text)))
+            # Many supersets make the shingles frequent.
+            rows += [(len(rows) + k, " ".join([*words, f"end{k}"])) for k in range(20 if group == 2 else 0)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA).repartition(3)
+    want = jaccard_components(rows, size, percent)
+    sizes = {i: n for i, n, _ in want}
+    assert any((sizes[c], n) == {85: (6, 7), 80: (4, 5)}[percent] for _, n, c in want)
+    assert found(docs, size, percent) == Counter(want)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 9), st.integers(0, 9), st.sampled_from([85, 80]), st.sets(st.integers(0, 20)), st.sets(st.integers(0, 20)))
+def test_small_sets_have_signatures_where_they_can_link(n, more, percent, second, third):
+    """A set links with a superset only if it is indexed, and then both take enough signatures."""
+    base, other = list(range(n)), list(range(n + more))
+    if 100 * n < percent * (n + more) or not more:
+        return
+    klass = {t: 3 if t in third else 2 if t in second else 1 for t in range(21)}
+
+    def signatures(own):
+        need = J.missing(len(own), percent) + 1
+        rare = [t for t in own if klass[t] == 1][:need]
+        out = {("rare", t) for t in rare}
+        if len(rare) < need:
+            ordered = [(k, t << 20) for k in (2, 3) for t in own if klass[t] == k]
+            for s in range(len(own).bit_length() - 1, (len(own) * 100 // percent).bit_length()):
+                out |= {("many", v) for v in J.frequent_signatures(ordered, need - len(rare), s)}
+        return out
+
+    assert J.links_apart(n, percent) and J.links_apart(n + more, percent)
+    assert signatures(base) & signatures(other)
