@@ -60,7 +60,8 @@ def _samples(items: DataFrame) -> DataFrame:
     ``missed`` shingles may be lacking at the wanted share. A sample is about
     twice the most that a class may miss, and of it all but ``missed`` must hit.
     """
-    shingled = hashed_shingles(items).withColumn("__shingles", F.array_distinct("__shingles"))
+    # Texts of one item are cut one by one: no shingle crosses from one to the next.
+    shingled = hashed_shingles(items).groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("__shingles"))).alias("__shingles"))
     sized = shingled.select("item_id", "__shingles", F.size("__shingles").alias("size"))
     missed = F.expr(f"(size * {100 - SHARE_PERCENT}) div 100").cast("int")
     # The class bound: the least power of two that is not below the size.
@@ -88,7 +89,7 @@ def contained(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     items = items.select("item_id", "text").distinct()
     per_item = materialize(text_shingles(items, "item_id"))
-    samples = materialize(_samples(items.groupBy("item_id").agg(F.array_join(F.sort_array(F.collect_list("text")), "\n").alias("text"))))
+    samples = materialize(_samples(items))
     # The sample is measured before it is sent out; a larger one is joined by shuffle.
     small = samples.count() <= BROADCAST_ROWS
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")

@@ -62,3 +62,18 @@ def test_no_python_in_the_plan(cases):
     docs, items, *_ = cases
     plan = D.contained(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_texts_of_one_item_have_no_shingle_across(spark):
+    """Items of one id (or none) and several short texts, whole and in part, in documents."""
+    texts = {k: ["a1 b c d e", f"f{k} g h i j", "k1 l m n o p"] for k in (1, 2, None)}
+    items = [(k, t) for k, own in texts.items() for t in (own[:2] if k == 1 else own)] + [(1, "a1 b c d e"), (3, "a1 b c d e f1 g h i j"), (2, None)]
+    rows = [(0, "x " + " y ".join(texts[1])), (1, " z ".join(reversed(texts[2]))), (2, " z ".join(texts[None])), (3, texts[1][0]), (4, "a1 b c d e f1 g h i j")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA).repartition(2)
+    cut = lambda text: {tuple(w[i : i + 5]) for w in [(text or "").split()] for i in range(len(w) - 4)}
+    want = set()
+    for k in {k for k, _ in items}:
+        whole = set().union(*(cut(t) for i, t in items if i == k))
+        want |= {(d, k, len(cut(t) & whole), len(whole)) for d, t in rows if whole and 100 * len(cut(t) & whole) >= 80 * len(whole)}
+    assert {(0, 1), (4, 3), (1, 2), (2, None)} <= {x[:2] for x in want}
+    assert found(docs, spark.createDataFrame(items, "item_id bigint, text string")) == want
