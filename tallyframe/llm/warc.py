@@ -158,12 +158,17 @@ class Members:
         return False
 
     def until(self, mark: bytes) -> bytes:
-        at = self.data.find(mark)
+        """What stands before the mark, of any length: a header may hold a very long url."""
+        held = bytearray(self.data)
+        at = held.find(mark)
         while at < 0:
-            if len(self.data) > MOST_HEADER_BYTES or not self.more():
+            self.data = b""
+            if not self.more():
                 raise ValueError("record header does not end")
-            at = self.data.find(mark)
-        head, self.data = self.data[:at], self.data[at + len(mark) :]
+            begin = max(0, len(held) - len(mark) + 1)
+            held += self.data
+            at = held.find(mark, begin)
+        head, self.data = bytes(held[:at]), bytes(held[at + len(mark) :])
         return head
 
     def exactly(self, size: int) -> Iterator[bytes]:
@@ -252,7 +257,7 @@ def _read_archives(folder: str, keep_payload: bool):
                     rows, size = [], 0
                     for row in read_records(source.read, keep_payload):
                         rows.append(row)
-                        size += len(row["payload"] or b"") + 200
+                        size += len(row["payload"] or b"") + len(row["target_uri"] or "") + 200
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_pylist(rows, SCHEMA)
                             rows, size = [], 0

@@ -137,3 +137,12 @@ def test_perfect_hash(n):
 def test_shared_paths(tmp_path):
     for uri in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
         assert open_path(uri)[1] == str(tmp_path)
+
+
+@pytest.mark.parametrize("length", [1 << 10, (1 << 20) + 7, 3 << 20])
+def test_a_record_takes_a_url_of_any_length(length):
+    sha1 = hashlib.sha1(b"<p>x</p>").digest()
+    url = "http://h/" + "".join(chr(97 + (k * k // 7) % 26) for k in range(length))
+    file = io.BytesIO(b"".join(A.record("response", f"urn:page:{k}:0:0", u, b"<p>x</p>", sha1, None) for k, u in enumerate((url, "http://short/"))))
+    rows = list(A.read_records(file.read, True))
+    assert [(r["target_uri"], r["payload"]) for r in rows] == [(url, b"<p>x</p>"), ("http://short/", b"<p>x</p>")]
