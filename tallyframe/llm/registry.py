@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyframe.llm import decontaminate, html_text, jaccard_join, mixing, piece_tokens, quality_model, quality_rules, repeated_bytes, token_ids, toxicity, warc, whitening
+from tallyframe.llm import decontaminate, html_text, jaccard_join, lexical_search, mixing, piece_tokens, quality_model, quality_rules, repeated_bytes, token_ids, toxicity, warc, whitening
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_repeated_bytes": repeated_bytes.op8_repeated_bytes,
     "op9_html_text": html_text.op9_html_text,
     "op10_mixing": mixing.op10_mixing,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
     "op12_whitening": whitening.op12_whitening,
     "op13_piece_tokens": piece_tokens.op13_piece_tokens,
 }
 
 SQL: dict[str, str] = {
     "op2_decontamination": decontaminate.SQL,
+    "op11_lexical_search": lexical_search.SQL,
 }
