@@ -28,6 +28,38 @@ def exact(value: Column, kind: str) -> Column:
     return value if kind.startswith("decimal") else value.cast("decimal(24,8)")
 
 
+# Hundred-millionths are summed in two halves of a long; up to the limit a double holds them all.
+_UNIT = 10**8
+_HALF_BITS = 24
+_ALL_IN_DOUBLE = 9e7
+
+
+def exact_sum(value: Column, kind: str) -> Column:
+    """Sum of amounts of type ``kind`` at their own scale, not rounded.
+
+    Decimals are summed as they are. Binary fractions count to eight places, as
+    :func:`exact` has them, but are added up as whole hundred-millionths in long
+    arithmetic, so that a task makes no decimal object for a row; high and low
+    bits have a sum each, so that neither overflows. Amounts too large for that
+    are added as decimals.
+    """
+    if kind.startswith("decimal"):
+        return F.sum(value)
+    amount = value.cast("double")
+    near = F.abs(amount) < _ALL_IN_DOUBLE
+    units = F.when(near, F.rint(amount * _UNIT)).cast("bigint")
+    high = F.sum(F.shiftright(units, _HALF_BITS)).cast("decimal(19,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << _HALF_BITS) - 1))).cast("decimal(19,0)")
+    small = ((high * F.lit(Decimal(1 << _HALF_BITS)) + low) * F.lit(Decimal("0.00000001"))).cast("decimal(36,8)")
+    large = F.sum(F.when(~near, value.cast("decimal(26,8)")))
+    return F.coalesce(small + large, small, large)
+
+
+def rounded(value: Column) -> Column:
+    """A total to cents, for show."""
+    return value.cast("decimal(38,2)")
+
+
 def cents(value: Column) -> Column:
     """An amount with two decimals as whole cents; any other amount is an error.
 

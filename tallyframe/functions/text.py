@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # First signed decimal number in a text; trailing digits of a code;
@@ -42,11 +44,20 @@ def joined(*parts: Column, sep: str = "\n") -> Column:
 
 
 def fill_placeholders(template: Column, values: dict[str, Column]) -> Column:
-    """Replace each ``[NAME]`` in a template by its value; NULL values read as empty."""
-    for name, value in values.items():
-        filled = F.coalesce(value.cast("string"), F.lit(""))
-        template = F.replace(template, F.lit(f"[{name}]"), filled)
-    return template
+    """Replace each ``[NAME]`` in a template by its value; NULL values read as empty.
+
+    The template is taken apart once: a value that looks like a placeholder
+    stays as it is.
+    """
+    if not values:
+        return template
+    names = F.create_map(*[part for name, value in values.items() for part in (F.lit(name), F.coalesce(value.cast("string"), F.lit("")))])
+    name = "|".join(re.escape(n) for n in values)
+    texts = F.split(template, rf"\[(?:{name})\]", -1)
+    found = F.regexp_extract_all(template, F.lit(rf"\[({name})\]"), F.lit(1))
+    filled = F.transform(found, lambda n: names[n])
+    pieces = F.zip_with(texts, filled, lambda text, value: F.concat(text, F.coalesce(value, F.lit(""))))
+    return F.array_join(pieces, "")
 
 
 def next_code(code: Column) -> Column:

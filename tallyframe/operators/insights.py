@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyframe.functions.dates import year_month
-from tallyframe.functions.numbers import exact, total
+from tallyframe.functions.numbers import exact, rounded, total
+from tallyframe.operators.joins import LOOKUP_ROWS, join_lookup
 from tallyframe.operators.ranking import rank_within
 
 
@@ -31,41 +32,47 @@ def revenue_by(sales: DataFrame, *keys: str) -> DataFrame:
     return sales.groupBy(*keys).agg(total(F.col("revenue")).alias("total_revenue"))
 
 
-def customer_totals(sales: DataFrame) -> DataFrame:
-    """One row per customer: total revenue and number of lines.
+def customer_sums(sales: DataFrame) -> DataFrame:
+    """One row per customer: revenue at its own scale and number of lines.
 
-    Takes raw lines, or lines already rolled up with a ``line_count``.
+    Takes raw lines, or lines already rolled up with a ``line_count``. What is
+    summed or ranked further is not rounded here.
     """
     count = F.sum("line_count") if "line_count" in sales.columns else F.count(F.lit(1))
     return sales.groupBy("customer_id").agg(
-        total(F.col("revenue")).alias("total"), count.cast("bigint").alias("line_count")
+        F.sum("revenue").alias("total"), count.cast("bigint").alias("line_count")
     )
 
 
-def customer_country_totals(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customer totals with the customer's country; the base of the country reports."""
+def customer_totals(sales: DataFrame) -> DataFrame:
+    """One row per customer: total revenue in cents and number of lines."""
+    return customer_sums(sales).withColumn("total", rounded(F.col("total")))
+
+
+def customer_country_sums(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customer sums with the customer's country; the base of the country reports."""
     home = customers.select("customer_id", "country")
-    return customer_totals(sales).join(home, "customer_id")
+    return customer_sums(sales).join(home, "customer_id")
 
 
 def revenue_by_country(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    totals = customer_country_totals(sales, customers)
+    totals = customer_country_sums(sales, customers)
     return totals.groupBy("country").agg(total(F.col("total")).alias("total_revenue"))
 
 
-def revenue_by_country_broadcast(sales: DataFrame, customers: DataFrame) -> DataFrame:
+def revenue_by_country_broadcast(sales: DataFrame, customers: DataFrame, most_rows: int = LOOKUP_ROWS) -> DataFrame:
     """Customers joined to every line, then summed by country.
 
-    Customers grow with the data, so there is no hint: Spark broadcasts them if
-    they are within its threshold when the join runs, else it shuffles.
+    The customers are counted first. Up to ``most_rows`` they are sent to all
+    tasks and lines are not shuffled for the join; beyond it they are shuffled.
     """
     home = customers.select("customer_id", "country")
-    return revenue_by(sales.join(home, "customer_id"), "country")
+    return revenue_by(join_lookup(sales, home, "customer_id", most_rows=most_rows), "country")
 
 
 def average_order_value(sales: DataFrame, customers: DataFrame, places: int = 4) -> DataFrame:
     """Mean revenue per line and country, from per-customer sums and counts."""
-    totals = customer_country_totals(sales, customers)
+    totals = customer_country_sums(sales, customers)
     mean = F.sum("total").cast("double") / F.sum("line_count")
     return totals.groupBy("country").agg(F.round(mean, places).alias("avg_order_value"))
 
@@ -74,24 +81,29 @@ def average_customer_revenue(
     sales: DataFrame, customers: DataFrame, places: int = 4
 ) -> DataFrame:
     """Mean over a country's customers of their total revenue."""
-    totals = customer_country_totals(sales, customers)
+    totals = customer_country_sums(sales, customers)
     return totals.groupBy("country").agg(
         F.round(F.avg(F.col("total").cast("double")), places).alias("avg_rev")
     )
 
 
 def best_customers(sales: DataFrame, customers: DataFrame, places: int = 1) -> DataFrame:
-    """Customers ranked within their country up to ``places``; ties share a rank."""
-    totals = customer_country_totals(sales, customers).select("country", "customer_id", "total")
-    return rank_within(totals, ["country"], [F.col("total").desc()], places, into="rk")
+    """Customers ranked within their country up to ``places``; ties share a rank.
+
+    Ranks go by exact totals, shown in cents.
+    """
+    totals = customer_country_sums(sales, customers).select("country", "customer_id", "total")
+    ranked = rank_within(totals, ["country"], [F.col("total").desc()], places, into="rk")
+    return ranked.withColumn("total", rounded(F.col("total")))
 
 
 def top_customers(sales: DataFrame, k: int = 10) -> DataFrame:
     return (
-        customer_totals(sales)
+        customer_sums(sales)
         .select("customer_id", "total")
         .orderBy(F.col("total").desc(), "customer_id")
         .limit(k)
+        .withColumn("total", rounded(F.col("total")))
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyframe.functions.numbers import exact, money, total
+from tallyframe.functions.numbers import exact_sum, money, rounded
 
 
 def paid_more_than(staff: DataFrame, salary: float) -> DataFrame:
@@ -51,31 +51,32 @@ def staff_sales(staff: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def _sold(sales: DataFrame) -> Column:
-    """Sum of all amounts at their own scale, rounded to cents once."""
-    return total(exact(F.col("amount"), dict(sales.dtypes)["amount"]))
+    """Sum of all amounts at their own scale."""
+    return exact_sum(F.col("amount"), dict(sales.dtypes)["amount"])
 
 
-def seller_totals(sales: DataFrame) -> DataFrame:
-    """Sales per seller; joined to staff afterwards, one row per seller."""
+def seller_sums(sales: DataFrame) -> DataFrame:
+    """Sales per seller, not rounded; joined to staff afterwards, one row per seller."""
     return sales.groupBy("employee_id").agg(_sold(sales).alias("total_sales"))
 
 
 def sales_by(staff: DataFrame, sales: DataFrame, *keys: str) -> DataFrame:
     """Total sales per staff attribute, rolled up per seller before the join."""
-    per_seller = staff_sales(staff.select("employee_id", *keys), seller_totals(sales))
-    return per_seller.groupBy(*keys).agg(total(F.col("total_sales")).alias("total_sales"))
+    per_seller = staff_sales(staff.select("employee_id", *keys), seller_sums(sales))
+    return per_seller.groupBy(*keys).agg(rounded(F.sum("total_sales")).alias("total_sales"))
 
 
 def top_seller(staff: DataFrame, sales: DataFrame, k: int = 1) -> DataFrame:
-    per_seller = staff_sales(staff.select("employee_id", "name"), seller_totals(sales))
-    return per_seller.orderBy(F.col("total_sales").desc(), "employee_id").limit(k)
+    per_seller = staff_sales(staff.select("employee_id", "name"), seller_sums(sales))
+    best = per_seller.orderBy(F.col("total_sales").desc(), "employee_id").limit(k)
+    return best.withColumn("total_sales", rounded(F.col("total_sales")))
 
 
 def product_totals(sales: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
     """Amount and rows per product, optionally only of listed products."""
     rows = sales if products is None else sales.filter(F.col("product").isin(list(products)))
     return rows.groupBy("product").agg(
-        _sold(sales).alias("total"), F.count(F.lit(1)).alias("n")
+        rounded(_sold(sales)).alias("total"), F.count(F.lit(1)).alias("n")
     )
 
 

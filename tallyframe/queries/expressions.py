@@ -90,7 +90,7 @@ def next_code(t: Tables):
     FROM (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'Y' WHEN '2-HIGH' THEN NULL
                  WHEN '3-MEDIUM' THEN '' WHEN '4-NOT SPECIFIED' THEN ' ' ELSE 'N' END AS pref
           FROM orders) t
-    WHERE pref = 'Y' OR pref IS NULL OR pref = '' OR pref = ' '""")
+    WHERE COALESCE(NULLIF(TRIM(pref), ''), 'Y') = 'Y'""")
 def blank_flag(t: Tables):
     priority = F.col("o_orderpriority")
     pref = (

@@ -41,4 +41,4 @@ def importances(t: Tables):
     extra = F.col("feature").endswith(f"={model.RARE}") | F.col("feature").endswith("=__unknown")
     named = fitted.importances.filter(~extra)
     whole = fitted.importances.agg(F.round(F.sum("importance"), 6).alias("total"))
-    return named.select("feature").join(F.broadcast(whole))
+    return named.select("feature", whole.scalar().alias("total"))

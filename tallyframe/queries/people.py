@@ -192,11 +192,13 @@ def multi_key_join(t: Tables):
 
 @query("q_left_lookup", """
     SELECT c.c_custkey, COALESCE(n.n_name, 'NA') AS country
-    FROM customer c LEFT JOIN (SELECT * FROM nation WHERE n_regionkey = 0) n
-      ON n.n_nationkey = c.c_nationkey""")
+    FROM customer c LEFT JOIN nation n
+      ON n.n_nationkey = CASE WHEN c.c_custkey % 4 = 0 THEN -1 - c.c_nationkey ELSE c.c_nationkey END""")
 def left_lookup(t: Tables):
-    nations = t.nation.filter(F.col("n_regionkey") == 0)
-    found = t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    """Every nation is looked up; every fourth customer has a key that no nation has."""
+    key = F.col("c_nationkey")
+    key = F.when(F.col("c_custkey") % 4 == 0, -1 - key).otherwise(key)
+    found = t.customer.select("c_custkey", key.alias("n_nationkey")).join(t.nation, "n_nationkey", "left")
     return found.select("c_custkey", F.coalesce("n_name", F.lit("NA")).alias("country"))
 
 

@@ -30,7 +30,7 @@ def missingness(t: Tables):
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
         F.when(F.col("o_totalprice") >= 50000, F.col("o_totalprice")).alias("price"),
     )
-    return profiling.missing_shares(gaps, top=20).withColumn("missing", F.round("missing", 9))
+    return profiling.missing_shares(gaps).withColumn("missing", F.round("missing", 9))
 
 
 @query("q_corr_target", """

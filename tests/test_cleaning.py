@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tallyframe import schemas
 from tallyframe.functions.bands import band, band_in_pandas, member_class
 from tallyframe.functions.dates import add_months_eom, parse_date, within_months_before
-from tallyframe.functions.numbers import as_flag, cents, half_even
-from tallyframe.functions.text import first_number, flag_or_no, joined, strip, yes_or_unset
+from tallyframe.functions.numbers import as_flag, cents, exact, exact_sum, half_even
+from tallyframe.functions.text import fill_placeholders, first_number, flag_or_no, joined, strip, yes_or_unset
 from tallyframe.operators import cleaning, insights, profiling, staff
 
 
@@ -58,12 +58,44 @@ def test_amounts_are_rounded_once(spark):
     lines = spark.createDataFrame([(0.125, 1000)], "price double, quantity int")
     assert insights.revenue_by(insights.add_revenue(lines).withColumn("k", F.lit(1)), "k").first().total_revenue == D("125.00")
     sales = spark.createDataFrame([(1, 0.004)] * 1000, "employee_id int, amount double")
-    assert staff.seller_totals(sales).first().total_sales == D("4.00")
+    assert staff.seller_sums(sales).first().total_sales == D("4.00000000")
+    people = spark.createDataFrame([(i, "n", "IT") for i in range(10)], "employee_id int, name string, department string")
+    few = spark.createDataFrame([(i, "p", 0.004) for i in range(10)], "employee_id int, product string, amount double")
+    # Ten amounts below half a cent each: 0.04, however they are grouped first.
+    assert staff.sales_by(people, few, "department").first().total_sales == D("0.04")
+    assert staff.product_totals(few).first().total == D("0.04")
+    homes = spark.createDataFrame([(i, "DE") for i in range(10)], "customer_id int, country string")
+    orders = insights.add_revenue(spark.createDataFrame([(i, 0.004, 1) for i in range(10)], "customer_id int, price double, quantity int"))
+    for report in (insights.revenue_by_country, insights.revenue_by_country_broadcast):
+        assert report(orders, homes).first().total_revenue == D("0.04")
+    assert insights.average_customer_revenue(orders, homes).first().avg_rev == 0.004
+    assert {r.total for r in insights.best_customers(orders, homes, 1).collect()} == {D("0.00")}
     with pytest.raises(Exception, match="parts of a cent"):
         sales.select(cents(F.col("amount"))).collect()
     assert sales.limit(1).select(cents(F.lit(1234.57))).first()[0] == 123457
 
 
+def test_exact_sums_of_binary_fractions(spark):
+    """Eight places, far amounts, negative ones and nulls; as decimals give them."""
+    groups = {
+        "small": [0.1, 0.2, 0.30000001, -7.99999999], "far": [9.0e9 + 0.25, -9.0e9, 123456789.5], "both": [1e12, 0.01, -0.02],
+        "null": [None, 1.5], "none": [None], "great": [8.9e7] * 300, "cents": [-0.005] * 400,
+    }
+    rows = [(k, v) for k, values in groups.items() for v in values]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.a, r.b) for r in df.groupBy("k").agg(
+        exact_sum(F.col("v"), "double").alias("a"), F.sum(exact(F.col("v"), "double")).alias("b")).collect()}
+    assert len(got) == len(groups) and all(a == b for a, b in got.values())
+    kept = spark.createDataFrame([(D("0.0001"),)] * 3, "v decimal(20,4)").agg(exact_sum(F.col("v"), "decimal(20,4)").alias("s"))
+    assert kept.first().s == D("0.0003")
+
+
+def test_filled_values_are_not_filled_again(spark):
+    df = spark.createDataFrame([("[DUE]", "soon", "Hi [NAME], [DUE]! [OTHER] [NAME]"), (None, "x", "[NAME][DUE]"), ("a", "b", "none"), ("a", "b", None)], "n string, d string, t string")
+    filled = fill_placeholders(F.col("t"), {"NAME": F.col("n"), "DUE": F.col("d")})
+    assert listed(df.select(filled)) == ["Hi [DUE], soon! [OTHER] [DUE]", "x", "none", None]
+
+
 def test_lookback_from_a_month_end(spark):
     days = column(spark, [dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2025, 2, 28)], "date")
     got = listed(days.filter(within_months_before(F.col("x"), dt.date(2025, 2, 28), 12)))

@@ -96,6 +96,38 @@ def test_cool_down_with_a_series_over_many_ranges(spark, seed, span, monkeypatch
     assert got == fires(rows, 75, 60)
 
 
+def as_samples(spark, rows):
+    df = spark.createDataFrame(rows, "s string, event_id bigint, sec bigint, value double")
+    return df.withColumn("ts", F.timestamp_seconds("sec")).drop("sec")
+
+
+@pytest.mark.parametrize("gap,wait", [(1, 7), (1, 700), (7, 60), (60, 60), (61, 60), (59, 60)])
+def test_cool_down_of_one_evenly_spaced_series(spark, gap, wait, monkeypatch):
+    """The paths of its samples never meet, so every range needs what all before it did."""
+    monkeypatch.setattr(alerts, "ROWS_PER_RANGE", 20)
+    largest = []
+    composed = alerts._compose_pairs
+
+    def watched(steps, wait):
+        sides = steps.groupBy("__series", F.shiftright("node", 1)).agg(F.count_distinct("node").alias("n"))
+        largest.append(sides.agg(F.max("n")).first()[0])
+        return composed(steps, wait)
+
+    monkeypatch.setattr(alerts, "_compose_pairs", watched)
+    rows = [("s", i, i * gap, 99.0) for i in range(64 * 20)] + [("t", 1, 5, 99.0), ("u", 2, 5, 10.0)]
+    fired = alerts.cool_down(as_samples(spark, rows), "s", 75, wait)
+    assert {(r.s, r.event_id) for r in fired.collect()} == fires(rows, 75, wait)
+    # 64 ranges become one function in six or seven rounds, two neighbours at a time.
+    assert 6 <= len(largest) <= 7 and max(largest) == 2
+
+
+def test_cool_down_without_crossings_or_without_quiet(spark):
+    rows = [("s", i, i // 2, 99.0) for i in range(10)]
+    none = as_samples(spark, rows).filter("value < 0")
+    assert alerts.cool_down(none, "s").count() == 0
+    assert alerts.cool_down(as_samples(spark, rows), "s", 75, 0).count() == 10
+
+
 def test_split_is_exact_per_class_and_repeats(spark):
     rows = [(i, 1 if i < 61 else 0) for i in range(1000)]
     df = spark.createDataFrame(rows, "id bigint, y int")

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyframe.operators import alerts, insights
+from tallyframe.operators import alerts, insights, joins
 from tallyframe.plans.inspect import plan_text
 from tallyframe.queries import REGISTRY
 
@@ -36,14 +36,18 @@ def test_filters_and_columns_reach_the_scan(tables):
     assert "l_comment" not in text and "l_extendedprice" not in text
 
 
-def test_no_hint_from_an_estimate(spark, tables):
-    """Compressible and exploded tables look small to the planner; nothing hints a broadcast of them."""
-    text = tables.customer.crossJoin(spark.range(3)).withColumn("country", F.expr("repeat('x', 1000)"))
-    lines = tables.order_sales
+def test_lookups_are_measured_before_they_are_broadcast(spark, tables, monkeypatch):
+    """Compressible and exploded tables look small to the planner; what counts is what they hold."""
+    lines, homes = tables.order_sales, tables.customers
+    wide = homes.withColumn("country", F.expr("repeat('x', 1000)"))
+    monkeypatch.setattr(joins, "LOOKUP_BYTES", 50_000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        plan_of = plan_text(insights.revenue_by_country_broadcast(lines, text.withColumnRenamed("c_custkey", "customer_id")))
-        assert "BroadcastHashJoin" not in plan_of and "BroadcastNestedLoop" not in plan_of.split("CartesianProduct")[0]
+        used = lambda *a, **b: "BroadcastHashJoin" in plan_text(insights.revenue_by_country_broadcast(lines, *a, **b))
+        assert used(homes) and not used(homes, most_rows=homes.count() - 1) and not used(wide)
+        want = sorted(insights.revenue_by_country(lines, homes).collect())
+        for most in (10**6, 1):
+            assert sorted(insights.revenue_by_country_broadcast(lines, homes, most).collect()) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -1,5 +1,7 @@
 """Every named query against its SQL twin."""
 
+import re
+
 import pytest
 
 from oracle import compare, connect
@@ -37,4 +39,7 @@ def test_entry_contract(spark):
     first = contract.entry(spark)
     assert first.columns == ["country", "total_revenue"] and first.count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) == set(REGISTRY)
+    # The training-data operators come on top, if their folder is there.
+    others = set(contract.queries()) - set(REGISTRY)
+    assert set(REGISTRY) <= set(contract.queries())
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in others)
