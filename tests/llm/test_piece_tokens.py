@@ -19,7 +19,9 @@ def words():
 
 
 def own(words, texts):
-    return [np.frombuffer(ids, np.int32).tolist() for ids in words.encode(texts)]
+    ids, at = words.encode(texts)
+    assert (ids[at[1:] - 1] == words.end).all()
+    return [ids[low : high - 1].tolist() for low, high in zip(at, at[1:])]
 
 
 def sha(text: str) -> str:
@@ -42,10 +44,22 @@ def test_equal_scores_merge_from_the_left(words):
     assert own(words, [" " * k for k in range(1, 70)]) == words.library.encode([" " * k for k in range(1, 70)])
 
 
-def test_remembered_segments_make_no_difference(words):
-    text = "Every segment is remembered, unless it is much longer than that: " + "x" * 200 + "."
-    first = own(words, [text])
-    assert own(words, [text, "remembered, unless " + text])[0] == first[0] == words.library.encode(text)
+def test_long_parts_and_short_ones_agree(words, monkeypatch):
+    texts = ["interesting " * 20 + "x" * 200 + ". " + "ab" * 40, "", "a" * 48 + " " + "a" * 49, "é" * 60]
+    expected = words.library.encode(texts)
+    for long in (48, 1, 1000):
+        monkeypatch.setattr(piece_tokens, "LONG", long)
+        words._forget()
+        assert own(words, texts) == expected
+
+
+def test_what_is_remembered_makes_no_difference(words, monkeypatch):
+    texts = ["Every part is remembered. Until there are too many.", "part of it", "", "many. parts", "é 漢字 \x00"]
+    expected = words.library.encode(texts)
+    monkeypatch.setattr(piece_tokens, "KEPT_PARTS", 4)
+    assert [own(words, [t])[0] for t in texts * 2] == expected * 2
+    monkeypatch.setattr(piece_tokens, "KEPT_PARTS", 1000)
+    assert [own(words, [t])[0] for t in texts * 2] == expected * 2
 
 
 def test_a_very_long_word(words):
@@ -54,8 +68,9 @@ def test_a_very_long_word(words):
 
 
 def test_what_is_merged_otherwise_is_refused(words):
+    # A vocabulary of its own, with nothing remembered.
     other = piece_tokens.PieceVocabulary(MODEL)
-    other.rank = {piece: len(other.rank) - turn for piece, turn in other.rank.items()}
+    other.merge_rank = other.merge_rank.max() - other.merge_rank
     with pytest.raises(ValueError, match="merges otherwise"):
         other.encode(["interesting things are said there"])
 
