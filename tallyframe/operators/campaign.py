@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 from tallyframe.functions.dates import NEVER_ENDS, day_month_year
 from tallyframe.functions.text import CODE_PATTERN, byte_length, capped, fill_placeholders, is_over, next_code
 from tallyframe.plans.ordered import number_rows
+from tallyframe.sources import ledger
 from tallyframe.sources.catalog import append_by_name
 
 LANGUAGES = ("en", "pt", "es")
@@ -309,6 +310,24 @@ def mark_triggered(
     ).select(*target.columns)
 
 
+def mark_triggered_in(
+    table: ledger.Table,
+    sent: DataFrame,
+    when: dt.date,
+    run_id: str,
+    flag: str = "triggered",
+    date: str = "triggered_on",
+    only_undated: bool = False,
+) -> tuple[int, int]:
+    """:func:`mark_triggered` on a table with a log: only files with a row to flag are written anew.
+
+    Says how many files were, and how many stayed.
+    """
+    due = f"coalesce({flag}, 'N') = 'N'" + (f" and {date} is null" if only_undated else "")
+    change = lambda rows: mark_triggered(rows, sent, F.lit(when), flag, date, only_undated)
+    return ledger.update(table, sent.select(F.col("case_id").cast(table.schema["case_id"].dataType)), change, run_id, due)
+
+
 # --- text length -----------------------------------------------------------
 
 
