@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tallyframe.functions.numbers import exact
 from tallyframe.operators.ranking import newest
 from tallyframe.plans.lineage import materialize
 
@@ -36,6 +39,34 @@ def window_means(samples: DataFrame, key: str, width: str, places: int = 6) -> D
     )
 
 
+def rolled_means(
+    samples: DataFrame, key: str, widths: Sequence[str], grain: str = "1 second", places: int = 6
+) -> dict[str, DataFrame]:
+    """:func:`window_means` of several widths from one scan; a sample sent twice counts once.
+
+    Samples are told apart by series, ``event_id`` and ``ts``. They are summed
+    by the finest grain, which is written, and every width adds grains up, so
+    each must be a multiple of the grain. Floating values are added as decimals
+    of eight places, or a mean would depend on how grains are summed.
+    """
+    kind = dict(samples.dtypes)["value"]
+    once = samples.groupBy(key, "event_id", "ts").agg(F.min("value").alias("value"))
+    grains = materialize(
+        once.groupBy(F.window("ts", grain), key)
+        .agg(F.sum(exact(F.col("value"), kind)).alias("sum"), F.count("value").alias("n"), F.count(F.lit(1)).alias("samples"))
+        .select(F.col("window.start").alias("ts"), key, "sum", "n", "samples")
+    )
+
+    def rolled(width: str) -> DataFrame:
+        mean = F.try_divide(F.sum("sum").cast("double"), F.sum("n"))
+        sums = grains.groupBy(F.window("ts", width), key).agg(
+            F.round(mean, places).alias("mean"), F.sum("samples").cast("bigint").alias("samples")
+        )
+        return sums.select(F.col("window.start").alias("start"), key, "mean", "samples")
+
+    return {width: rolled(width) for width in widths}
+
+
 def last_points(samples: DataFrame, key: str, points: int = POINTS) -> DataFrame:
     """The latest points per series; cut per task before the shuffle."""
     order = [F.col("ts").desc(), F.col("event_id").desc()]

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tallyframe.functions.dates import NEVER_ENDS, day_month_year
 from tallyframe.functions.text import CODE_PATTERN, byte_length, capped, fill_placeholders, is_over, next_code
+from tallyframe.plans.cutoff import cutoffs
+from tallyframe.plans.lineage import materialize
 from tallyframe.plans.ordered import number_rows
 from tallyframe.sources import ledger
 from tallyframe.sources.catalog import append_by_name
@@ -73,18 +75,24 @@ def pick_batch(contacts: DataFrame, runs: int = RUNS, flag: str = "triggered") -
 
     The share is floor(total / runs). When no more are left than the last run
     would get, all of them are picked; so with fewer cases than runs the first
-    run takes everything. Cases are taken in key order.
+    run takes everything. Cases are taken in key order, a missing key first.
+
+    The last key that is picked is found by histograms; cases are not sorted.
+    Keys that are no whole numbers are numbered instead.
     """
-    per_case = contacts.groupBy("case_id").agg((~F.max(untriggered(flag))).alias("done"))
-    # Waiting cases come first, so the numbering serves the counts and the cut.
-    numbered = number_rows(per_case, "done", "case_id", into="rn")
-    counts = numbered.agg(
-        F.count(F.lit(1)).alias("total"), F.count(F.when(~F.col("done"), 1)).alias("remaining")
-    )
-    share = F.floor(F.col("total") / F.lit(runs)).cast("bigint")
-    last = F.col("remaining") <= F.col("total") - (runs - 1) * share
-    pick = counts.select(F.when(last, F.col("remaining")).otherwise(share).alias("pick"))
-    return numbered.filter(~F.col("done") & (F.col("rn") <= pick.scalar())).select("case_id")
+    per_case = materialize(contacts.groupBy("case_id").agg((~F.max(untriggered(flag))).alias("done")))
+    counts = per_case.agg(F.count(F.lit(1)).alias("total"), F.count(F.when(~F.col("done"), 1)).alias("remaining")).first()
+    share = counts["total"] // runs
+    pick = counts["remaining"] if counts["remaining"] <= counts["total"] - (runs - 1) * share else share
+    waiting = per_case.filter(~F.col("done")).select("case_id")
+    if pick == counts["remaining"]:
+        return waiting
+    if dict(per_case.dtypes)["case_id"] not in ("tinyint", "smallint", "int", "bigint"):
+        return number_rows(waiting, "case_id", into="rn").filter(F.col("rn") <= pick).select("case_id")
+    order = F.coalesce(F.col("case_id").cast("bigint"), F.lit(-(1 << 63)))
+    keyed = waiting.withColumn("__order", order)
+    cut = cutoffs(keyed, "__order", {None: pick})[None]
+    return keyed.filter(F.col("__order") <= cut.value if cut else F.lit(False)).select("case_id")
 
 
 # --- templates -------------------------------------------------------------

@@ -2,16 +2,52 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyframe.functions.numbers import percent_of
+from tallyframe.plans.lineage import materialize
+from tallyframe.plans.matrices import PARTS, cut, summed
+
+#: Rows of so many columns are compared as they are; with more they are fingerprinted first.
+NARROW = 4
+#: Columns whose correlations are aggregate expressions; with more they come from matrix sums.
+FEW_COLUMNS = 12
+
+
+def _prints(df: DataFrame) -> dict[str, Column]:
+    """Two 64-bit fingerprints of a whole row. Hashes pass over a NULL, so which columns are NULL is hashed too."""
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in df.columns])
+    return {"__p1": F.xxhash64(gaps, *df.columns), "__p2": F.xxhash64(F.lit("again"), *df.columns, gaps)}
+
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
+    """The report of :func:`duplicate_report` over all columns, for wide rows.
+
+    Rows are counted by fingerprint, so what is shuffled is 24 bytes a row,
+    less what repeats within a task. Only rows whose fingerprint occurs again
+    are compared by their columns. ``df`` is read twice.
+    """
+    marked = df.withColumns(_prints(df))
+    counted = materialize(marked.groupBy("__p1", "__p2").agg(F.count(F.lit(1)).alias("__n")))
+    repeated = counted.filter("__n > 1").select("__p1", "__p2")
+    alike = marked.join(repeated, ["__p1", "__p2"], "left_semi")
+    different = alike.groupBy("__p1", "__p2", *df.columns).agg(F.count(F.lit(1))).agg(F.count(F.lit(1)).alias("n"))
+    rows, single = F.coalesce(F.sum("__n"), F.lit(0)), F.count(F.when(F.col("__n") == 1, 1))
+    return counted.agg(rows.alias("total"), single.alias("single")).select(
+        "total", (F.col("single") + different.scalar()).alias("distinct_rows"),
+        (F.col("total") - F.col("single") - different.scalar()).alias("duplicates"),
+    )
 
 
 def duplicate_report(df: DataFrame, *keys: str) -> DataFrame:
     """Rows, distinct rows and surplus rows, over all columns or the named ones."""
+    if not keys and len(df.columns) > NARROW:
+        return duplicate_rows(df)
     groups = df.groupBy(*(keys or df.columns)).agg(F.count(F.lit(1)).alias("n"))
     rows = F.coalesce(F.sum("n"), F.lit(0))
     return groups.agg(
@@ -38,17 +74,24 @@ def missing_shares(df: DataFrame, *columns: str, top: int | None = None) -> Data
 
 
 def _numeric(name: str):
-    """Double, with NaN as NULL: ``corr`` skips NULL pairs but not NaN."""
+    """Double, with NaN as NULL."""
     value = F.col(name).cast("double")
     return F.when(~F.isnan(value), value)
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson r over rows with both values; NULL where one of them does not vary."""
+    x, y = _numeric(a), _numeric(b)
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
 def correlation_with(
     df: DataFrame, target: str, columns: Sequence[str], places: int = 6
 ) -> DataFrame:
     """Pearson r of each column with the target, largest first; one pass."""
     row = df.agg(
-        *[F.round(F.corr(_numeric(c), _numeric(target)), places).alias(c) for c in columns]
+        *[F.round(_corr(c, target), places).alias(c) for c in columns]
     )
     return row.unpivot([], list(columns), "column", "r").orderBy(
         F.col("r").desc_nulls_last(), "column"
@@ -60,6 +103,8 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int = 6) -
 
     Each unordered pair is computed once, all in one pass.
     """
+    if len(columns) > FEW_COLUMNS:
+        return correlation_blocks(df, columns, places)
     pairs = list(combinations(columns, 2)) + [(c, c) for c in columns]
     row = df.agg(
         F.array(
@@ -67,7 +112,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int = 6) -
                 F.struct(
                     F.lit(a).alias("a"),
                     F.lit(b).alias("b"),
-                    F.round(F.corr(_numeric(a), _numeric(b)), places).alias("r"),
+                    F.round(_corr(a, b), places).alias("r"),
                 )
                 for a, b in pairs
             ]
@@ -87,6 +132,44 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], places: int = 6) -
     return mirrored.select("cell.*")
 
 
+def comoments(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over the rows in which both columns have a value: count, x, x squared, x times y, each a square matrix.
+
+    x is the row's column, y the other; values are less their column's mean. A
+    task sums matrices of its rows; blocks of these are added up in two steps.
+    NULL, NaN and infinite values are missing.
+    """
+    k = len(columns)
+    finite = {c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double")).alias(c) for c in columns}
+    rows = df.select(*finite.values())
+    means = np.array([m or 0.0 for m in rows.agg(*[F.avg(c) for c in columns]).first()])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4 * k, k))
+        for batch in batches:
+            for low in range(0, batch.num_rows, 4096):
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.slice(low, 4096).columns]) - means
+                here = np.isfinite(x)
+                x, held = np.where(here, x, 0.0), here.astype(float)
+                total += np.vstack([held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x])
+        yield cut(total)
+
+    return tuple(summed(rows.mapInArrow(task, PARTS), (4 * k, k)).reshape(4, k, k))
+
+
+def correlation_blocks(df: DataFrame, columns: Sequence[str], places: int = 6) -> DataFrame:
+    """As :func:`correlation_matrix`, for hundreds of columns: one scan for the means, one for all pairs."""
+    n, x, square, product = comoments(df, columns)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = square - x * x / n
+        # Round-off of a constant column is no spread.
+        spread = np.where(spread > 1e-12 * np.maximum(square, 1e-300), spread, 0.0)
+        r = (product - x * x.T / n) / np.sqrt(spread * spread.T)
+    rows = [(a, b, float(r[i, j]) if np.isfinite(r[i, j]) else None) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    frame = df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return frame.withColumn("r", F.round("r", places))
+
+
 def rate_by(df: DataFrame, key: str, flag: str, places: int = 6) -> DataFrame:
     """Mean of a 0/1 flag per group, highest first; rows without a group are left out."""
     return (

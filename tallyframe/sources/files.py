@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 
 def read_csv(
@@ -26,6 +28,62 @@ def read_csv(
     return reader.schema(schema).option("mode", mode).option("enforceSchema", False).csv(path)
 
 
+@dataclass(frozen=True)
+class Intake:
+    """What became of CSV files: rows that fit the schema, the others with their place, and how many of each."""
+
+    good: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType, into: str, date_format: str = "yyyy-MM-dd"
+) -> Intake:
+    """Read headed CSV once and set aside records that do not fit.
+
+    A record with a value that is not of its type, or with too few or too many
+    fields, is a reject: its text, file and line number. Everything is written
+    under ``into`` in the one pass that parses, counted while it is written,
+    and read back. A file that does not begin with the schema's names is an
+    error; header lines further down, as in files put together, and blank
+    lines are passed over. Quoted text may not hold a line end.
+    """
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad", "dateFormat": date_format}
+    lines = spark.read.text(path).select(
+        F.col("value").alias("__line"),
+        F.col("_metadata.file_path").alias("__file"),
+        F.col("_metadata.file_block_start").alias("__block"),
+        F.monotonically_increasing_id().alias("__seen"),
+    )
+    parsed = lines.withColumn("__row", F.from_csv("__line", f"{names}, __bad string", options))
+    header = F.lower(F.regexp_replace("__line", '[" \ufeff\r]', "")) == ",".join(schema.names).lower()
+    kind = (
+        F.when(F.trim("__line") == "", "blank").when(header, "header")
+        .when(F.col("__row.__bad").isNotNull(), "reject").otherwise("good")
+    )
+    typed = parsed.select("*", *[F.col("__row")[n].alias(n) for n in schema.names], kind.alias("__kind"))
+    counter = Observation("csv intake")
+    kinds = ("good", "reject", "header", "blank")
+    counted = typed.drop("__row").observe(counter, *[F.count(F.when(F.col("__kind") == k, 1)).alias(k) for k in kinds])
+    counted.withColumn("__line", F.when(F.col("__kind") == "reject", F.col("__line"))).write.partitionBy("__kind").parquet(into)
+    written = spark.read.parquet(into)
+    # A row for each piece of a file that a task read: where it begins and how many lines it has.
+    blocks = written.groupBy("__file", "__block").agg(
+        F.min("__seen").alias("__lead"), F.count(F.lit(1)).alias("__lines"), F.min_by("__kind", "__seen").alias("__first")
+    )
+    headless = blocks.filter("__block = 0 and __first <> 'header'").select("__file").first()
+    if headless:
+        raise ValueError(f"{headless[0]} does not begin with {','.join(schema.names)}")
+    earlier = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__lines").over(earlier), F.lit(0)))
+    rejects = written.filter("__kind = 'reject'").join(blocks, ["__file", "__block"]).select(
+        F.col("__file").alias("file"), (F.col("__before") + F.col("__seen") - F.col("__lead") + 1).alias("line"), F.col("__line").alias("record")
+    )
+    return Intake(written.filter("__kind = 'good'").select(*schema.names), rejects, {k: counter.get[k] for k in kinds})
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

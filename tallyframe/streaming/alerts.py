@@ -53,6 +53,18 @@ def windowed_means(samples: DataFrame, key: str, width: str, late: str) -> DataF
     return window_means(samples.withWatermark("ts", late), key, width)
 
 
+def rolled_means(samples: DataFrame, key: str, fine: str, coarse: str, late: str) -> DataFrame:
+    """Means of wide windows out of sums of narrow ones; a sample that is sent again within ``late`` counts once."""
+    once = samples.withWatermark("ts", late).dropDuplicatesWithinWatermark([key, "event_id"])
+    grains = once.groupBy(F.window("ts", fine), key).agg(
+        F.sum(F.col("value").cast("decimal(24,8)")).alias("sum"), F.count("value").alias("n"), F.count(F.lit(1)).alias("samples")
+    )
+    sums = grains.groupBy(F.window(F.window_time("window"), coarse), key).agg(
+        F.round(F.try_divide(F.sum("sum").cast("double"), F.sum("n")), 6).alias("mean"), F.sum("samples").cast("bigint").alias("samples")
+    )
+    return sums.select(F.col("window.start").alias("start"), key, "mean", "samples")
+
+
 def _crossings(samples: DataFrame, key: str, limit: float, late: str) -> DataFrame:
     """Samples above the limit, under a watermark that all samples move.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import alerts
 from tallyframe.operators.model import stratified_split
+from tallyframe.operators.ranking import rank_with_ties, rank_within
 from tallyframe.plans.inspect import plan_text
 from tallyframe.plans.ordered import exact_median, number_rows, running_total
 
@@ -151,3 +152,39 @@ def test_median_when_the_sketch_misses(spark, monkeypatch):
         got = {r.g: r.median for r in exact_median(df, "v", "g").collect()}
         want = {k: statistics.median(v for g, v in rows if g == k) for k in "gh"}
         assert got == want
+
+
+@pytest.mark.parametrize("largest", [True, False])
+def test_ranks_of_values_that_most_rows_share(spark, largest):
+    rng = random.Random(4)
+    rows = [("hot", 5.0 if rng.random() < 0.9 else float(rng.randint(0, 9)), i) for i in range(1000)]
+    rows += [(None, float(rng.randint(0, 3)), i) for i in range(20)] + [("gap", None, 1), ("gap", 2.0, 2), ("none", None, 3), ("none", None, 4)]
+    df = spark.createDataFrame(rows, "k string, v double, i int").repartition(4)
+    order = F.col("v").desc_nulls_last() if largest else F.col("v").asc_nulls_last()
+    for places in (1, 3, 50):
+        want = rank_within(df, ["k"], [order], places).collect()
+        got = rank_with_ties(df, ["k"], "v", places, largest=largest)
+        assert got.columns == ["k", "v", "i", "rk"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, want))
+
+
+def test_tied_rows_do_not_meet_in_a_window(spark):
+    """A value in 90 % of a group: the windows get distinct values only, cut before the shuffle."""
+    df = spark.range(50_000).select(F.lit("k").alias("k"), F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).alias("v"))
+    ranked = rank_with_ties(df, ["k"], "v", 3)
+    text = plan_text(ranked)
+    assert text.index("WindowGroupLimit") < text.index("Window [") if "Window [" in text else "WindowGroupLimit" in text
+    limit = [line for line in text.splitlines() if "Window" in line]
+    assert limit and "partial_count" in text.lower()
+    assert ranked.count() == rank_within(df, ["k"], [F.col("v").desc()], 3).count()
+
+
+def test_rolled_windows_from_one_scan(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), i, rng.randint(0, 20_000), rng.choice([0.1, 0.2, 50.0, None, 1e9])) for i in range(800)]
+    once = as_samples(spark, rows)
+    again = as_samples(spark, rows + rows[:300] + rows[:50])
+    rolled = alerts.rolled_means(again, "s", ["5 seconds", "10 seconds", "1 hour"])
+    for width, got in rolled.items():
+        want = alerts.window_means(once.withColumn("value", F.col("value").cast("decimal(20,8)")), "s", width)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -161,3 +161,38 @@ def test_bucketed_tables_join_without_a_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for name in ("bucket_lines", "bucket_heads"):
         catalog.drop_if_present(spark, name)
+
+
+HEAD = "order_id,customer_id,product,category,quantity,price,order_date"
+
+
+def test_intake_sets_aside_what_does_not_fit(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    good = [f"{i},1,Pen,Office,2,1.5,2023-01-12" for i in range(300)]
+    one = [HEAD, *good[:5], "x,1,Pen,Office,2,1.5,2023-01-12", '6,1,"Pen, red",Office,2,1.5,2023-01-12', "7,1,Pen", "", "8,1,Pen,Office,2,1.5,2023-01-12,more", *good[10:13]]
+    two = [HEAD, *good[100:280], HEAD, "9,1,Pen,Office,2,1.5,2023-02-30", *good[280:290]]
+    (folder / "one.csv").write_text("\n".join(one) + "\n")
+    (folder / "two.csv").write_text("\r\n".join(two))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    try:
+        got = files.load_csv(spark, str(folder), schemas.ORDERS, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert got.good.schema.names == schemas.ORDERS.names and dict(got.good.dtypes)["order_date"] == "date"
+    assert sorted(r.order_id for r in got.good.collect()) == sorted([*range(5), 6, *range(10, 13), *range(100, 290)])
+    assert got.good.filter("order_id = 6").first().product == "Pen, red"
+    rejects = sorted((r.file.rpartition("/")[2], r.line, r.record.split(",")[0]) for r in got.rejects.collect())
+    assert rejects == [("one.csv", 7, "x"), ("one.csv", 9, "7"), ("one.csv", 11, "8"), ("two.csv", 183, "9")]
+    assert got.counts == {"good": 199, "reject": 4, "header": 3, "blank": 1}
+
+
+def test_intake_of_nothing_but_a_header_and_of_another_header(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text(HEAD + "\n")
+    got = files.load_csv(spark, str(tmp_path / "empty.csv"), schemas.ORDERS, str(tmp_path / "e"))
+    assert got.good.count() == 0 and got.rejects.count() == 0 and got.counts["header"] == 1
+    (tmp_path / "other.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="other.csv"):
+        files.load_csv(spark, str(tmp_path / "other.csv"), schemas.ORDERS, str(tmp_path / "o"))
