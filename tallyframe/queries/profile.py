@@ -54,6 +54,17 @@ def corr_matrix(t: Tables):
     return profiling.correlation_matrix(t.lineitem, _MEASURES)
 
 
+_WIDE = {f"m{k}": f"l_quantity * {k} + l_extendedprice * {13 - k} / 100" if k else "CASE WHEN l_linenumber > 1 THEN l_discount END" for k in range(14)}
+
+
+@query("q_corr_wide", "WITH m AS MATERIALIZED (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _WIDE.items()) + " FROM lineitem) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, ROUND(CORR({a}, {b}), 6) AS r FROM m" for a in _WIDE for b in _WIDE))
+def corr_wide(t: Tables):
+    """Fourteen columns, one with gaps: all pairs from one set of matrix sums."""
+    wide = t.lineitem.select(*[F.expr(e).cast("double").alias(c) for c, e in _WIDE.items()])
+    return profiling.correlation_matrix(wide, list(_WIDE))
+
+
 @query("q_rate_by_segment", """
     SELECT d.lang, ROUND(AVG(CAST(l.quality AS DOUBLE)), 6) AS rate
     FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.lang""")

@@ -9,6 +9,7 @@ from tallyframe.functions.numbers import money
 from tallyframe.operators import insights
 from tallyframe.operators.cleaning import clean_rows, fill_nulls
 from tallyframe.operators.profiling import duplicate_report
+from tallyframe.operators.ranking import rank_with_ties
 from tallyframe.plans.ordered import exact_median, number_rows
 from tallyframe.queries.registry import CUST, LINES, Tables, query
 
@@ -120,6 +121,17 @@ def dup_report(t: Tables):
     return duplicate_report(t.lineitem, "l_orderkey", "l_linenumber")
 
 
+@query("q_dup_rows", """
+    SELECT CAST(SUM(n) AS BIGINT) AS total, COUNT(*) AS distinct_rows, CAST(SUM(n) - COUNT(*) AS BIGINT) AS duplicates
+    FROM (SELECT COUNT(*) AS n FROM (SELECT text, lang, source, n_chars, doc_id % 3 AS part FROM documents
+                                     UNION ALL SELECT text, lang, source, n_chars, doc_id % 3 FROM documents WHERE lang = 'en') d
+          GROUP BY text, lang, source, n_chars, part) t""")
+def dup_rows(t: Tables):
+    """Whole documents, English ones a second time."""
+    rows = t.documents.select("text", "lang", "source", "n_chars", (F.col("doc_id") % 3).alias("part"))
+    return duplicate_report(rows.union(rows.filter("lang = 'en'")))
+
+
 # --- counts ----------------------------------------------------------------
 
 
@@ -341,6 +353,24 @@ def median_exact(t: Tables):
     return medians.withColumn("median", F.round("median", 4))
 
 
+@query("q_median_approx", """
+    SELECT QUANTILE_DISC(CAST(l_extendedprice AS DECIMAL(18,2)), 0.5) AS median_order_value FROM lineitem""")
+def median_approx(t: Tables):
+    """The sketched lower median, with as much room as it takes to be sure of the rank."""
+    prices = t.lineitem.select(money(F.col("l_extendedprice")).alias("revenue"))
+    return insights.median_order_value(prices, accuracy=10_000_000)
+
+
+@query("q_ranked_ties", """
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_quantity, rk FROM (
+        SELECT *, RANK() OVER (PARTITION BY l_returnflag ORDER BY l_quantity DESC) AS rk FROM lineitem) t
+    WHERE rk <= 3""")
+def ranked_ties(t: Tables):
+    """The lines of the greatest quantity: a fiftieth of all lines ties in each group."""
+    lines = t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    return rank_with_ties(lines, ["l_returnflag"], "l_quantity", 3)
+
+
 # --- lists -----------------------------------------------------------------
 
 LIST_LENGTH = 1000
