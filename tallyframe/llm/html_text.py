@@ -5,15 +5,17 @@ menus, forms, adverts and the like is marked and weighs nothing; the weight of
 any other line is its text less its link text. Weights are summed over sliding
 windows of lines: where the sum jumps up the article surges, where it falls to
 nothing it dives, and the text between is kept. Where the page names its
-article, only lines inside the outermost such element have weight (the largest,
-if several stand side by side). Any weight is a surge there, and only a list of
-links, a window of lines or longer, is a dive.
+article, only lines inside such elements have weight, any weight is a surge
+there, and what dives is kept as well unless it is marked. Elements end as in a
+browser: an end tag closes what is open inside, a paragraph or list item ends
+where the next begins.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,41 +69,136 @@ class Line:
     heading: bool
 
 
-def _marks(rest: str) -> tuple[set[str], set[str]]:
-    """Words of class, id and role, and whole itemprop and role values, in lower case."""
-    words, whole = set(), set()
+# Elements that a later start ends, with the starts that do and the elements that bound the search.
+ENDED_BY = {
+    "li": (frozenset(("li",)), frozenset("ul ol menu".split())),
+    "dt": (frozenset("dt dd".split()), frozenset(("dl",))),
+    "dd": (frozenset("dt dd".split()), frozenset(("dl",))),
+    "td": (frozenset("td th tr tbody tfoot".split()), frozenset(("table",))),
+    "th": (frozenset("td th tr tbody tfoot".split()), frozenset(("table",))),
+    "tr": (frozenset("tr tbody tfoot".split()), frozenset(("table",))),
+    "option": (frozenset("option optgroup".split()), frozenset(("select",))),
+}
+# Words before a mark that make it say something else, and elements that hold text themselves.
+NO_MARK = frozenset("has have with without no not is show hide market".split())
+TEXT_ELEMENTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figure figcaption".split())
+_CELLS = frozenset("td th".split())
+
+
+def _attributes(rest: str) -> tuple[list[list[str]], set[str]]:
+    """Words of each name in class, id and role, and whole itemprop and role values, in lower case."""
+    names, whole = [], set()
     for kind, *values in _NAMES.findall(rest):
         value = "".join(values)
         if kind.lower() in ("itemprop", "role"):
             whole.add(value.lower())
-        words.update(word.lower() for word in _WORDS.findall(value))
-    return words, whole
+        names += [[word.lower() for word in _WORDS.findall(name)] for name in value.split()]
+    return names, whole
+
+
+def _is_marked(element: str, names: list[list[str]], marks: frozenset[str]) -> bool:
+    """Whether a name says that the element is no part of the article.
+
+    One word of a name is enough, unless a word before it says otherwise
+    ("has-sidebar"); an element that holds text itself needs all words of one.
+    """
+    for words in names:
+        if element in TEXT_ELEMENTS:
+            if words and marks.issuperset(words):
+                return True
+        elif any(word in marks and NO_MARK.isdisjoint(words[:i]) for i, word in enumerate(words)):
+            return True
+    return False
+
+
+@dataclass
+class _Open:
+    """An open element: whether it is outside, and the number of the article it begins."""
+
+    name: str
+    outside: bool = False
+    article: int = 0
+
+
+class _Page:
+    """The open elements of a page, closed as a browser would: end tags may be missing."""
+
+    def __init__(self):
+        self.open: list[_Open] = []
+        self.names: Counter[str] = Counter()
+        self.outside = 0
+        self.article: list[int] = []
+        self.articles = 0
+
+    def push(self, element: _Open) -> None:
+        self.open.append(element)
+        self.names[element.name] += 1
+        self.outside += element.outside
+        if element.article:
+            self.article.append(element.article)
+
+    def pop(self) -> None:
+        element = self.open.pop()
+        self.names[element.name] -= 1
+        self.outside -= element.outside
+        if element.article:
+            self.article.pop()
+
+    def end(self, name: str) -> None:
+        """Close an element and all that is open in it; an inline one not beyond the block it is in."""
+        if not self.names[name]:
+            return
+        place = len(self.open) - 1
+        while self.open[place].name != name:
+            if name not in BLOCKS and name not in _CELLS and self.open[place].name in BLOCKS:
+                return
+            place -= 1
+        while len(self.open) > place:
+            self.pop()
+
+    def start(self, name: str) -> None:
+        """Close what the start of an element ends: a paragraph, or an item of the same list or table."""
+        if name in BLOCKS and self.names["p"]:
+            place = len(self.open) - 1
+            while place >= 0 and (self.open[place].name == "p" or self.open[place].name not in BLOCKS):
+                if self.open[place].name == "p":
+                    self.end("p")
+                    break
+                place -= 1
+        for old, (by, bounds) in ENDED_BY.items():
+            if name in by and self.names[old]:
+                place = len(self.open) - 1
+                while place >= 0 and self.open[place].name not in bounds and self.open[place].name != old:
+                    place -= 1
+                if place >= 0 and self.open[place].name == old:
+                    while len(self.open) > place:
+                        self.pop()
 
 
 def lines_of(page: str) -> list[Line]:
     """Lines of a page in order, each with where it stands. Cut-off pages end where they end."""
     lines: list[Line] = []
+    # Text of the line so far, of the article and of marked elements within the line.
     parts: list[str] = []
+    marked: list[str] = []
     links = depth_a = 0
-    articles = 0
-    open_articles: list[tuple[str, int, int]] = []  # element, its number, how many of its name are open in it
-    skip: list[tuple[str, int, int]] = []  # outside element, open of its name, articles open when it began
-    heading = False
+    state, heading = _Page(), False
 
     def close_line():
-        nonlocal links, parts
-        text = " ".join(html.unescape("".join(parts)).split())
-        if text:
-            number = open_articles[-1][1] if open_articles else 0
-            lines.append(Line(text, min(links, len(text)), number, bool(skip), heading))
-        parts, links = [], 0
+        nonlocal links, parts, marked
+        for own, outside in ((parts, False), (marked, True)):
+            text = " ".join(html.unescape("".join(own)).split())
+            if text:
+                lines.append(Line(text, min(links, len(text)), state.article[0] if state.article else 0, outside, heading))
+                break
+        parts, marked, links = [], [], 0
 
     at = 0
     for found in _TOKEN.finditer(page):
         if found.start() > at:
             text = page[at : found.start()]
-            parts.append(text)
-            if depth_a:
+            (marked if state.outside else parts).append(text)
+            if depth_a and not state.outside:
                 links += len(text)
         at = found.end()
         name = (found["name"] or "").lower()
@@ -110,7 +207,7 @@ def lines_of(page: str) -> list[Line]:
         if name in BLOCKS:
             close_line()
         elif name in ("br", "td", "th"):
-            parts.append(" ")
+            (marked if state.outside else parts).append(" ")
         ending, rest = bool(found["end"]), found["rest"] or ""
         if name == "a":
             depth_a = max(0, depth_a + (-1 if ending else 1))
@@ -119,38 +216,26 @@ def lines_of(page: str) -> list[Line]:
         if name in VOID or rest.endswith("/"):
             continue
         if ending:
-            if skip and skip[-1][0] == name:
-                kind, count, began = skip.pop()
-                if count > 1:
-                    skip.append((kind, count - 1, began))
-                continue
-            if open_articles and open_articles[-1][0] == name:
-                kind, number, count = open_articles.pop()
-                if count > 1:
-                    open_articles.append((kind, number, count - 1))
+            state.end(name)
             continue
-        words, whole = _marks(rest) if rest else (set(), set())
+        state.start(name)
+        names, whole = _attributes(rest) if rest else ([], set())
         starts = name in ("article", "main") or "articlebody" in whole or "main" in whole
-        if starts and not (words & OUTSIDE_WORDS):
-            # An article never stands inside a menu or an advert: one that was not closed ends here.
-            skip = [s for s in skip if s[2] > 0] if not open_articles else skip
-            if not skip:
-                articles += not open_articles
-                open_articles.append((name, articles, 1))
+        if starts and not _is_marked(name, names, OUTSIDE_WORDS):
+            if not state.article:
+                # An article never stands inside a menu or an advert: one that was not closed ends here.
+                for element in state.open:
+                    element.outside = False
+                state.outside = 0
+            if not state.outside:
+                state.articles += not state.article
+                state.push(_Open(name, article=state.articles))
                 continue
-        inside = bool(open_articles)
-        marked = name in OUTSIDE or (name == "header" and not inside) or bool(words & OUTSIDE_WORDS - ({"header"} if inside else set()))
-        if marked and name not in ("html", "body") or _HIDDEN.search(rest):
-            if skip and skip[-1][0] == name:
-                skip[-1] = (name, skip[-1][1] + 1, skip[-1][2])
-            else:
-                skip.append((name, 1, len(open_articles)))
-        elif skip and skip[-1][0] == name:
-            skip[-1] = (name, skip[-1][1] + 1, skip[-1][2])
-        elif open_articles and open_articles[-1][0] == name:
-            kind, number, count = open_articles[-1]
-            open_articles[-1] = (kind, number, count + 1)
-    parts.append(page[at:])
+        inside = bool(state.article)
+        marks = OUTSIDE_WORDS - {"header"} if inside else OUTSIDE_WORDS
+        outside = name in OUTSIDE or (name == "header" and not inside) or _is_marked(name, names, marks)
+        state.push(_Open(name, (outside and name not in ("html", "body")) or bool(_HIDDEN.search(rest))))
+    (marked if state.outside else parts).append(page[at:])
     close_line()
     return lines
 
@@ -188,27 +273,24 @@ def _but_link_lists(lines: list[Line], weights: list[int], begin: int, end: int)
 def main_text(page: str) -> str:
     """The article's blocks joined by line ends; empty if the page has none."""
     lines = lines_of(page)
-    sizes: dict[int, int] = {}
-    for line in lines:
-        if line.article and not line.outside:
-            sizes[line.article] = sizes.get(line.article, 0) + len(line.text)
-    chosen = max(sizes, key=lambda k: (sizes[k], -k), default=0)
+    named = any(line.article and not line.outside for line in lines)
     for line in lines:
-        line.outside = line.outside or line.article != chosen
+        line.outside = line.outside or (named and not line.article)
     weights = [0 if line.outside else max(0, len(line.text) - 2 * line.links) for line in lines]
-    ranges = surge_and_dive(weights, 0 if chosen else None)
+    ranges = surge_and_dive(weights, 0 if named else None)
     kept = [i for begin, end in ranges for i in range(begin, end)]
     dives = list(zip([0, *(end for _, end in ranges)], [*(begin for begin, _ in ranges), len(lines)]))
-    if not chosen:
+    if not named:
         # Only headings before the first surge; nothing after the last dive.
         begin = dives[0][1]
         while begin and ranges and lines[begin - 1].heading and not lines[begin - 1].outside:
             begin -= 1
         kept += range(begin, dives[0][1])
         dives = dives[1:-1]
-    # What stands between ranges is of the article, and where the page names it also what is around them.
+    # What stands between ranges is of the article, but for lists of links. Where the page names its
+    # article, all of that is, also before and after, and links in it are text.
     for begin, end in dives:
-        kept += _but_link_lists(lines, weights, begin, end)
+        kept += range(begin, end) if named else _but_link_lists(lines, weights, begin, end)
     return "\n".join(lines[i].text for i in sorted(kept) if not lines[i].outside)
 
 

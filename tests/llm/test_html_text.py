@@ -64,7 +64,7 @@ LIST = "<ul>" + "".join(f'<li><a href="/{k}">Another page of ours</a></li>' for
 @pytest.mark.parametrize("page", [
     "<main><h1>Head</h1><article><p>{0}</p></article></main>",
     "<article><h1>Head</h1><div itemprop='articleBody'><p>{0}</p></div></article>",
-    "<main><article><h1>Head</h1></article><div role='main'><p>{0}</p></div></main><article><p>Short.</p></article>",
+    "<main><article><h1>Head</h1></article><div role='main'><p>{0}</p></div></main>",
 ])
 def test_nested_articles_are_one(page):
     text = WORDS.format(1)
@@ -72,10 +72,36 @@ def test_nested_articles_are_one(page):
 
 
 def test_surge_and_dive_run_inside_a_named_article():
-    """A list of links dives, short lines and single links stay, marked lines part nothing."""
+    """Whatever is in it stays but for what is marked, a list of links too; what is around it goes."""
     ads = "<div class='ad'><p>One.</p><p>Two.</p><p>Three.</p></div>"
     page = f"<p>{WORDS}</p><article><h1><a href='/'>Head</a></h1><p>By me</p>{ads}<p>Short.</p>{LIST}<p>{WORDS}</p><p><a href='/s'>Source</a></p></article>"
-    assert H.main_text(page) == f"Head\nBy me\nShort.\n{WORDS}\nSource"
+    links = "\n".join(["Another page of ours"] * 3)
+    assert H.main_text(page) == f"Head\nBy me\nShort.\n{links}\n{WORDS}\nSource"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>A<p class='share'>Share<p>B<p>C</article><p>out", "A\nB\nC"),
+    ("<article><ul><li class='ad'>Ad<li>one<li>two</ul><p>end</article>", "one\ntwo\nend"),
+    ("<article><div><form><input><p>Name</div><p>after</article>", "after"),
+    ("<article><p>one</p></article><article><p>two, longer</p></article>", "one\ntwo, longer"),
+    ("<article><p class='market-share'>The share</p><p class='share'>Share</p><span class='ad'>Buy <b>it</b></span> rest</article>", "The share\nrest"),
+    ("<article><table><tr><td>a<td class='ad'>Ad<td>b<tr><td>c</table><dl><dt>t<dd class='promo'>p<dd>d</dl></article>", "a b\nc\nt\nd"),
+    ("<article><div class='ad'><div><p>Ad</div></div></div><p>x</article>", "x"),
+    ("<article><b>bold <i>both</b> italic</i><p>x</p></article>", "bold both italic\nx"),
+])
+def test_elements_without_end_tags_and_marks_of_several_words(page, text):
+    assert H.main_text(page) == text
+
+
+def test_a_wrapper_that_has_a_sidebar_is_none():
+    page = f"<div class='content has-sidebar'><h1>Head</h1><p>{WORDS}</p><p>{WORDS}</p></div><div class='main-sidebar'><p>{WORDS}</p></div>"
+    assert H.main_text(page) == f"Head\n{WORDS}\n{WORDS}"
+
+
+def test_very_long_and_deep_pages():
+    deep = "<div>" * 50_000 + "<article><p>" + "word " * 400_000 + "</article>"
+    assert len(H.main_text(deep)) == 5 * 400_000 - 1
+    assert H.main_text("<article>" + "<li>item<p>" * 20_000 + "</article>").count("\n") == 19_999
 
 
 @pytest.mark.parametrize("between", ["<aside><p>One.</p><p>Two.</p><p>Three.</p></aside>", "<div class='share'><p>One.</p><p>Two.</p><p>Three.</p><p>Four.</p></div>", LIST])
