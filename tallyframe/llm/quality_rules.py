@@ -4,9 +4,12 @@ Every rule has a fixed ladder of cutoffs from lenient to strict. In each
 stratum (language) the good labelled documents test the ladders one rule after
 the other: a step is taken while the exact binomial upper bound of the share
 of good documents that all rules together would reject stays within the limit.
-A ladder ends at its first failed test, so its tests need no correction among
-themselves; the error probability is divided by strata and rules. A stratum
-with too few labelled documents gets no cutoffs, and its documents are kept.
+A ladder ends at its first failed test, so from any one start its tests need no
+correction among themselves. Where a ladder starts depends on the same
+documents, by the steps that earlier ladders took; so the error probability is
+divided by strata, by rules and by the starts a ladder can have, and holds
+whichever comes about. A stratum with too few labelled documents gets no
+cutoffs, and its documents are kept.
 """
 
 from __future__ import annotations
@@ -129,19 +132,44 @@ def upper_bound(rejected: int, total: int, error: float) -> float:
     """Exact (Clopper-Pearson) upper bound of a share: the least p with P(X <= rejected) <= error."""
     if rejected >= total:
         return 1.0
-    logs = [math.lgamma(total + 1) - math.lgamma(k + 1) - math.lgamma(total - k + 1) for k in range(rejected + 1)]
     low, high = rejected / total, 1.0
     for _ in range(60):
         p = (low + high) / 2
-        tail = sum(math.exp(c + k * math.log(p) + (total - k) * math.log1p(-p)) for k, c in enumerate(logs)) if p < 1 else 0.0
+        tail = beta_share(total - rejected, rejected + 1, 1 - p) if p < 1 else 0.0
         low, high = (p, high) if tail > error else (low, p)
     return high
 
 
+def beta_share(a: float, b: float, x: float) -> float:
+    """The incomplete beta function, regularised, by its continued fraction.
+
+    With a = n - k and b = k + 1 it is the chance of at most k of n, whose terms
+    need not be added one by one.
+    """
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    small = 1e-300
+    ratio, below = 1.0, 1 / (1 - (a + b) * x / (a + 1) or small)
+    value = below
+    for m in range(1, 100_000):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            below = 1 / (1 + term * below or small)
+            ratio = 1 + term / ratio or small
+            value *= below * ratio
+        if abs(below * ratio - 1) < 1e-15:
+            break
+    return front * value
+
+
 def choose(steps: np.ndarray, counted: np.ndarray, error: float, limit: float = LIMIT) -> list[int]:
     """Steps taken on each ladder (-1: none), from the good documents' first rejecting steps and how many have them."""
     total, taken = int(counted.sum()), [-1] * steps.shape[1]
     for rule in range(steps.shape[1]):
+        # Each earlier ladder ended on one of its steps or on none.
+        error /= len(LADDERS[RULES[rule - 1]]) + 1 if rule else 1
         others = (steps <= np.array(taken)).any(axis=1)
         for k in range(len(LADDERS[RULES[rule]])):
             rejected = int(counted[others | (steps[:, rule] <= k)].sum())

@@ -7,7 +7,7 @@ import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from tallyframe.llm import jaccard_join, quality_rules, vec
-from tests.llm.brute import base_counts, jaccard_components
+from llm.brute import base_counts, jaccard_components
 
 
 def parity_pair(size: int) -> tuple[str, str]:

@@ -11,7 +11,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyframe.llm import lexical_search as search
-from tests.llm.brute import LOW
+from llm.brute import LOW
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 ITEMS = "item_id bigint, text string"

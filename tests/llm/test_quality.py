@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,34 @@ def test_upper_bound_is_exact(k, n, error):
     assert p == 1.0 if k == n else math.isclose(tail, error, rel_tol=1e-6)
 
 
+@pytest.mark.parametrize("k, n, p", [(0, 5, 0.3), (20_000, 400_000, 0.0503), (3, 10, 0.9), (500, 1000, 0.5), (99, 100, 0.99), (1_000_000, 30_000_000, 0.0334)])
+def test_tails_by_continued_fraction(k, n, p):
+    if n <= 400_000:
+        logs = np.array([math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)])
+        assert Q.beta_share(n - k, k + 1, 1 - p) == pytest.approx(float(np.exp(logs).sum()), rel=1e-7)
+    else:
+        assert 0 < Q.beta_share(n - k, k + 1, 1 - p) < 1
+
+
+def test_bounds_of_millions_take_no_time():
+    started = time.perf_counter()
+    bounds = [Q.upper_bound(40_000 * k, 1_000_000 * k, 1e-6) for k in (1, 10, 100)]
+    assert time.perf_counter() - started < 2 and 0.04 < bounds[2] < bounds[1] < bounds[0] < 0.042
+
+
+def test_a_ladder_pays_for_every_start_it_can_have():
+    """The same documents, seen by the first rule and by the last one: the last asks for more of them."""
+    taken = {}
+    for rule in (0, len(Q.RULES) - 1):
+        for total in range(60, 1200, 20):
+            steps = np.full((2, len(Q.RULES)), 6)
+            steps[0, rule] = 0
+            if Q.choose(steps, np.array([0, total]), 0.05)[rule] >= 0:
+                taken[rule] = total
+                break
+    assert taken[0] == 60 and taken[len(Q.RULES) - 1] == pytest.approx(-math.log(0.05 / 7**5) / -math.log(0.95), abs=20)
+
+
 def test_limit_holds_under_resampling():
     """Over many samples with a true rejection share above the limit at every step, a step is taken rarely."""
     rng, taken = np.random.default_rng(2), 0
