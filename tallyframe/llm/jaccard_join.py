@@ -14,10 +14,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window as W
 
 from tallyframe.llm import vec
@@ -37,6 +39,8 @@ BROADCAST_IDS = 1_000_000
 #: Steps to the partners of a class in a group that is not connected yet.
 PARTNERS = (1, 2, 4, 8)
 BITS = [f"b{k}" for k in range(BITMAP_LONGS)]
+#: The bitmap folded to 256 bits, for rows of which there are many.
+FOLDS = [f"f{k}" for k in range(4)]
 
 
 # -- sets -----------------------------------------------------------------
@@ -207,16 +211,18 @@ def _index(size: int, percent: int, sent):
     return index
 
 
-def _raw_sets(size: int):
-    """Rows (cls, set): tokens of each set as bytes."""
+def _packed_texts(size: int):
+    """Rows (cls, text): the class of each text and the text compressed, which is shorter than its tokens."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(3)
         for batch in batches:
             for low, high, made, at in _parts(batch, 0, size):
-                raw = [made[at[i] : at[i + 1]].tobytes() for i in range(high - low)]
-                yield pa.RecordBatch.from_arrays([_signed(digests(made, at)[0]), pa.array(raw, pa.binary())], names=["cls", "set"])
+                texts = batch.column(0).slice(low, high - low).cast(pa.large_binary())
+                raw = [press.compress(text.as_buffer() if text.is_valid else b"") for text in texts]
+                yield pa.RecordBatch.from_arrays([_signed(digests(made, at)[0]), pa.array(raw, pa.binary())], names=["cls", "text"])
 
-    return sets
+    return pack
 
 
 # -- pairs ----------------------------------------------------------------
@@ -227,27 +233,44 @@ def _near(n: str, m: str, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
 
 
-def _may_link(left: str, right: str, percent: int) -> Column:
+def _folded() -> list[Column]:
+    """Parities of 256 places from those of 2048: no more bits differ than tokens do."""
+    return [reduce(Column.bitwiseXOR, [F.col(b) for b in BITS[k :: len(FOLDS)]]).alias(f) for k, f in enumerate(FOLDS)]
+
+
+def _may_link(left: str, right: str, percent: int, names: list[str] = BITS) -> Column:
     """Whether the bitmaps allow it: tokens that only one has number at least the bits that differ.
 
     With u the union and d the tokens of only one, u - d >= u * percent / 100
     and u <= (n + m + d) / 2, so d is at most (n + m) * (100 - p) / (100 + p).
     """
     of = lambda side, name: F.col(f"{side}.{name}" if side else name)
-    differ = sum((F.bit_count(of(left, b).bitwiseXOR(of(right, b))) for b in BITS), F.lit(0))
+    differ = sum((F.bit_count(of(left, b).bitwiseXOR(of(right, b))) for b in names), F.lit(0))
     return differ * (100 + percent) <= (of(left, "n") + of(right, "n")) * (100 - percent)
 
 
-def _verify(percent: int):
+def _verify(size: int, percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), U64), np.frombuffer(y.as_py(), U64)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def similar(texts: list[bytes]) -> list[bool]:
+            made, at = sets_of(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]), size)
+            out = []
+            for i in range(0, len(texts), 2):
+                both = np.sort(made[at[i] : at[i + 2]], kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
-                same.append(100 * shared >= percent * (len(both) - shared))
+                out.append(100 * shared >= percent * (len(both) - shared))
+            return out
+
+        for batch in batches:
+            same, texts, held = [], [], 0
+            for left, right in zip(batch.column(2), batch.column(3)):
+                texts += [unpack(left.as_buffer()), unpack(right.as_buffer())]
+                held += len(texts[-2]) + len(texts[-1])
+                if held >= vec.CHUNK_BYTES:
+                    same += similar(texts)
+                    texts, held = [], 0
+            same += similar(texts) if texts else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     return verify
@@ -265,7 +288,7 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     """Of candidate pairs (a, b) those that are similar by their whole sets."""
     pairs = materialize(pairs)
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-    # The sets are made again, from one document of each class that is asked for.
+    # The sets are made again where pairs meet, from the text of one document of each class that is asked for.
     wanted = materialize(classes.join(named, "cls", "left_semi").select(F.col("least").alias("doc_id"), "cls"))
     some_id = docs.filter("doc_id is null").select("doc_id", "text") if wanted.filter("doc_id is null").limit(1).count() else None
     ids = wanted.select("doc_id")
@@ -273,10 +296,10 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     texts = texts.union(some_id) if some_id is not None else texts
-    made = texts.select("text").mapInArrow(_raw_sets(size), "cls bigint, set binary")
-    sets = materialize(made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
-    full = pairs.join(sets.withColumnsRenamed({"cls": "a", "set": "sa"}), "a").join(sets.withColumnsRenamed({"cls": "b", "set": "sb"}), "b")
-    return full.select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a bigint, b bigint")
+    made = texts.select("text").mapInArrow(_packed_texts(size), "cls bigint, text binary")
+    packed = materialize(made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
+    full = pairs.join(packed.withColumnsRenamed({"cls": "a", "text": "ta"}), "a").join(packed.withColumnsRenamed({"cls": "b", "text": "tb"}), "b")
+    return full.select("a", "b", "ta", "tb").mapInArrow(_verify(size, percent), "a bigint, b bigint")
 
 
 def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -339,23 +362,23 @@ def _stars(grouped: DataFrame, shift: float, order: Column, percent: int) -> Dat
     return paired.select(F.least("cls", "pivot.cls").alias("a"), F.greatest("cls", "pivot.cls").alias("b"))
 
 
-def _open_groups(grouped: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_groups(grouped: DataFrame, roots: DataFrame, classes: DataFrame, bits: list) -> DataFrame:
     """Rows (sig, cls, root, n, bitmap) of groups in more than one component; groups of the same classes once."""
     rooted = grouped.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
     members = F.struct(F.count("*"), F.bit_xor(F.xxhash64("cls")), F.bit_xor(F.xxhash64("cls", F.lit(1))))
     summed = rooted.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), members.alias("members"))
     open_sigs = summed.filter("low <> high").groupBy("members").agg(F.min("sig").alias("sig")).select("sig")
-    return rooted.join(open_sigs, "sig", "left_semi").join(classes.select("cls", "n", *BITS), "cls")
+    return rooted.join(open_sigs, "sig", "left_semi").join(classes.select("cls", "n", *bits), "cls")
 
 
 def _partners(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of each class with those some steps after it that sizes and bitmaps allow."""
     order = W.partitionBy("sig").orderBy(F.xxhash64("cls", "sig"))
-    own = F.struct("cls", "root", "n", *BITS)
+    own = F.struct("cls", "root", "n", *FOLDS)
     rows = rows.withColumns({f"p{k}": F.lead(own, k).over(order) for k in PARTNERS})
     found = []
     for k in PARTNERS:
-        fits = (F.col("root") != F.col(f"p{k}.root")) & _near("n", f"p{k}.n", percent) & _may_link("", f"p{k}", percent)
+        fits = (F.col("root") != F.col(f"p{k}.root")) & _near("n", f"p{k}.n", percent) & _may_link("", f"p{k}", percent, FOLDS)
         pair = F.struct(F.least("cls", f"p{k}.cls").alias("a"), F.greatest("cls", f"p{k}.cls").alias("b"))
         found.append(F.when(fits, pair))
     pairs = rows.select(F.explode(F.array_compact(F.array(*found))).alias("p"))
@@ -375,11 +398,11 @@ def _linked_classes(docs: DataFrame, scanned: DataFrame, classes: DataFrame, siz
     roots = components(links)
     # In groups that are not yet in one component each class meets a few others
     # in an order of the group's own, which connects most that belong together.
-    met = _partners(_open_groups(grouped, roots, classes), percent)
-    links = materialize(links.union(_links(docs, classes, met, size, percent)))
+    met = _partners(_open_groups(grouped, roots, classes, _folded()), percent)
+    links = materialize(links.union(_links(docs, classes, _possible(met, classes, percent), size, percent)))
     roots = components(links)
     # What is still apart is checked pair by pair.
-    left_open = materialize(_open_groups(grouped, roots, classes))
+    left_open = materialize(_open_groups(grouped, roots, classes, BITS))
     l, r = left_open.alias("l"), left_open.alias("r")
     on = (
         (F.col("l.sig") == F.col("r.sig")) & (F.col("l.cls") < F.col("r.cls")) & (F.col("l.root") != F.col("r.root"))
