@@ -38,8 +38,20 @@ def test_stages_do_what_they_say(spark):
     assert {(r.doc_id, r.n_tokens, r.ids_crc32) for r in ids} == want
 
 
+def test_stages_on_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
+    """Nulls, blank and long texts, repeated rows and ids, clashing column names; then no row at all."""
+    for docs in (odd_docs, no_docs):
+        for name, stage in P.STAGES[:-1]:
+            kept = materialize(stage(spark, docs, SF))
+            assert kept.columns == docs.columns, name
+            assert name == "mixing" or kept.count() <= docs.count(), name
+            docs = kept
+        ids = P.STAGES[-1][1](spark, docs, SF)
+        assert ids.count() == docs.count() and ids.filter("n_tokens < 1").count() == 0
+
+
 def test_registry():
     import __spark_entry__ as entry
 
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(QUERIES)
