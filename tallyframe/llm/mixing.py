@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tallyframe.plans.lineage import materialize
+from tallyframe.plans.ordered import number_rows
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -62,33 +63,65 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     reruns agree.
 
     Null or empty texts have size 0 and add no words; a null source is a
-    source of its own, the last in order. Equal rows have one hash and are
-    taken alike. An empty table gives an empty result.
+    source of its own, the last in order. Rows equal in id and text share a
+    hash; where the cut falls on them, as many are taken as bring the sum
+    nearest to the budget, in the order of all their columns. An empty table
+    gives an empty result.
     """
     docs = docs.select([c for c in docs.columns if c not in ADDED])
     keyed = docs.withColumns({"size": word_count(F.col("text")), "__hash": _hash(seed), "__text": F.xxhash64("text")})
     sized = materialize(keyed.select("doc_id", "__text", "source", "size", "__hash"))
     plan = mix_sizes(sized, weights, most)
     # A hash decides for all rows alike, so the plan is joined back by source only.
+    parts = materialize(_parts(sized, plan))
     out = _known(keyed, plan)
-    copies = F.col("__base") + F.when(F.col("__hash") <= F.col("__cut"), 1).otherwise(0)
+    extra = F.when(F.col("__hash") <= F.col("__cut"), 1).otherwise(0)
+    if parts.limit(1).count():
+        # Rows that share the hash of the cut are numbered, over all tasks, and the first of them taken.
+        split = parts.withColumnsRenamed({"source": "__source", "cut": "__at", "part": "__part"})
+        shared = F.col("source").eqNullSafe(F.col("__source")) & (F.col("__hash") == F.col("__at"))
+        others = out.join(split, shared, "left_anti").withColumn("__extra", extra)
+        tied = out.join(split, shared).withColumns({"__row": F.xxhash64(*docs.columns), "__place": F.monotonically_increasing_id()})
+        numbered = number_rows(materialize(tied), "__source", "__row", "__place", into="__nth")
+        first = numbered.groupBy(F.col("__source").alias("__own")).agg(F.min("__nth").alias("__first"))
+        numbered = numbered.join(first, F.col("__source").eqNullSafe(F.col("__own")))
+        taken = F.when(F.col("__nth") - F.col("__first") < F.col("__part"), 1).otherwise(0)
+        out = others.unionByName(numbered.withColumn("__extra", taken).select(*others.columns))
+        extra = F.col("__extra")
+    copies = F.col("__base") + extra
     return out.withColumn("copies", copies.cast("bigint")).withColumn("taken", F.col("copies") * F.col("size")).drop(
-        "__hash", "__text", "__base", "__cut"
+        "__hash", "__text", "__base", "__cut", "__budget", "__extra"
     )
 
 
+def _parts(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Sources whose cut falls on rows that share a hash: (source, cut, part), and how many of these rows to take.
+
+    Such rows are equal in id and text, so of one size. The cut of the plan is
+    on the near side of them; the hash they share is the last within the
+    budget or the first beyond it.
+    """
+    plan = plan.select(F.col("source").alias("__s"), "edge", "low", "budget").filter("edge >= 0 and budget > 0")
+    ties = sized.join(plan, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__hash") == F.col("edge")))
+    counted = ties.groupBy("source", "edge").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("budget").alias("budget"), F.first("low").alias("low"), F.max("size").alias("size")
+    ).filter("rows > 1 and size > 0")
+    nearest = F.floor((F.col("budget") - F.col("low")) / F.col("size") + 0.5)
+    return counted.select("source", F.col("edge").alias("cut"), F.greatest(F.lit(0), F.least("rows", nearest)).cast("bigint").alias("part"))
+
+
 def _hash(seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 64 - BITS * LEVELS)
 
 
 def _known(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """Add each document's source plan; null sources match too."""
-    plan = plan.withColumnsRenamed({"source": "__source", "base": "__base", "cut": "__cut"})
+    plan = plan.withColumnsRenamed({"source": "__source", "base": "__base", "cut": "__cut", "budget": "__budget"}).drop("edge", "low")
     return docs.join(plan, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
 
 
 def mix_sizes(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Plan of each source: (source, source_size, target, base, cut).
+    """Plan of each source: (source, source_size, target, base, cut), and of its cut (edge, low, budget).
 
     ``sized`` has ``source``, ``size`` and ``__hash`` and is read once for
     each level, so give a written table.
@@ -105,9 +138,9 @@ def mix_sizes(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     cut = F.when(F.col("budget") <= 0, F.lit(-1)).when(
         F.col("low") + F.col("inside") - F.col("budget") <= F.col("budget") - F.col("low"), F.col("prefix")
     ).otherwise(F.col("prefix") - 1)
-    cuts = edge.select(F.col("source").alias("__s"), cut.alias("cut"))
+    cuts = edge.select(F.col("source").alias("__s"), cut.alias("cut"), F.col("prefix").alias("edge"), "low")
     joined = aims.join(cuts, F.col("source").eqNullSafe(F.col("__s")), "left")
-    return joined.select("source", "source_size", "target", "base", F.coalesce("cut", F.lit(-1)).alias("cut"))
+    return joined.select("source", "source_size", "target", "base", F.coalesce("cut", F.lit(-1)).alias("cut"), "edge", "low", "budget")
 
 
 def _refine(sized: DataFrame, edge: DataFrame, level: int) -> DataFrame:

@@ -57,6 +57,25 @@ def test_mix(spark):
     assert Counter(r.doc_id for r in repeated.collect()) == Counter({r.doc_id: r.copies for r in got if r.copies})
 
 
+def test_equal_rows_are_taken_in_part(spark):
+    """A source of one repeated row, one of two, one of rows that differ in another column only, and one of all kinds."""
+    rows = [(1, "w " * 10, "a", k % 3) for k in range(400)] + [(2, "w " * 7, "b", 0)] * 120 + [(3, "w " * 3, "b", 0)] * 200
+    rows += [(k, "w " * (k % 9), "c", 0) for k in range(10, 400)] + [(4, "", None, 0)] * 50 + [(5, "w", "d", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, mark int").repartition(7)
+    got = X.mix(docs).collect()
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert len(got) == len(rows) and all(r.taken <= 3 * r.size for r in got)
+    for source, most in (("a", 10), ("b", 7), ("c", 8), ("d", 1), (None, 0)):
+        assert abs(taken[source] - target[source]) <= most / 2 + 1e-9, source
+    again = X.mix(docs.repartition(3)).collect()
+    kinds = lambda rows: Counter((r.doc_id, r.text, r.mark, r.taken) for r in rows)
+    assert kinds(got) == kinds(again)
+    assert len(X.mixed_rows(docs).collect()) == sum(r.copies for r in got)
+
+
 def test_odd_rows(odd_docs, odd_rows):
     got = X.mix(odd_docs).collect()
     words = lambda t: len(re.findall(X.WORD, t or ""))
