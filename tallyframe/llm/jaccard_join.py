@@ -38,11 +38,19 @@ BITMAP_LONGS = 32
 BROADCAST_IDS = 1_000_000
 #: Steps to the partners of a class in a group that is not connected yet.
 PARTNERS = (1, 2, 4, 8)
+#: A task writes about so many rows, or of rows with texts and bitmaps so many.
+ROWS_IN_TASK, WIDE_ROWS_IN_TASK = 500_000, 2_000
 BITS = [f"b{k}" for k in range(BITMAP_LONGS)]
 #: The bitmap folded to 256 bits, for rows of which there are many.
 FOLDS = [f"f{k}" for k in range(4)]
 
 
+def _dealt(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """``df`` in tasks by its measured size: for small tables a file for each shuffle partition costs more than the rows."""
+    least = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // each)))
+
+
 # -- sets -----------------------------------------------------------------
 
 
@@ -284,22 +292,27 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_may_link("l", "r", percent)).select("a", "b")
 
 
-def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of candidate pairs (a, b) those that are similar by their whole sets."""
-    pairs = materialize(pairs)
+def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, most: int, size: int, percent: int) -> DataFrame:
+    """Of candidate pairs (a, b), about ``most``, those that are similar by their whole sets."""
+    pairs = materialize(_dealt(pairs, most, ROWS_IN_TASK))
+    count = pairs.count()
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     # The sets are made again where pairs meet, from the text of one document of each class that is asked for.
-    wanted = materialize(classes.join(named, "cls", "left_semi").select(F.col("least").alias("doc_id"), "cls"))
+    wanted = classes.join(named, "cls", "left_semi").select(F.col("least").alias("doc_id"), "cls")
+    wanted = materialize(_dealt(wanted, 2 * count, ROWS_IN_TASK))
     some_id = docs.filter("doc_id is null").select("doc_id", "text") if wanted.filter("doc_id is null").limit(1).count() else None
     ids = wanted.select("doc_id")
     # Ids that were counted and are few go to the texts; else the texts go to them.
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    asked = ids.count()
+    ids = F.broadcast(ids) if asked <= BROADCAST_IDS else ids
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     texts = texts.union(some_id) if some_id is not None else texts
     made = texts.select("text").mapInArrow(_packed_texts(size), "cls bigint, text binary")
-    packed = materialize(made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
+    packed = made.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    packed = materialize(_dealt(packed, asked, WIDE_ROWS_IN_TASK))
     full = pairs.join(packed.withColumnsRenamed({"cls": "a", "text": "ta"}), "a").join(packed.withColumnsRenamed({"cls": "b", "text": "tb"}), "b")
-    return full.select("a", "b", "ta", "tb").mapInArrow(_verify(size, percent), "a bigint, b bigint")
+    full = _dealt(full.select("a", "b", "ta", "tb"), count, WIDE_ROWS_IN_TASK)
+    return materialize(full.mapInArrow(_verify(size, percent), "a bigint, b bigint"))
 
 
 def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
@@ -328,11 +341,13 @@ def link_components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
         *(F.min(b).alias(b) for b in BITS),
     )
     one = F.when(F.col("check") == F.col("last"), F.col("cls")).otherwise(F.raise_error(F.lit("two sets with one digest")))
-    classes = materialize(classes.select(one.alias("cls"), "least", "n", *BITS))
+    classes = classes.select(one.alias("cls"), "least", "n", *BITS)
+    count = rows.count()
+    classes = materialize(_dealt(classes, count, WIDE_ROWS_IN_TASK))
     linked = _linked_classes(docs, scanned, classes, size, percent)
     named = classes.join(linked.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = materialize(named.join(least, "root").select("cls", "root", "component_id"))
+    by_class = materialize(_dealt(named.join(least, "root").select("cls", "root", "component_id"), count, ROWS_IN_TASK))
     joined = rows.join(by_class, "cls", "left")
     alone = F.col("n") == 0
     return joined.select(
@@ -392,24 +407,28 @@ def _linked_classes(docs: DataFrame, scanned: DataFrame, classes: DataFrame, siz
     index = docs.select("text").mapInArrow(_index(size, percent, sent), "sig bigint, cls bigint, n int")
     group = W.partitionBy("sig")
     several = F.min("cls").over(group) != F.max("cls").over(group)
-    grouped = materialize(index.withColumn("several", several).filter("several").select("sig", "cls", "n").distinct())
+    grouped = index.withColumn("several", several).filter("several").select("sig", "cls", "n").distinct()
+    # About as many signatures as the sets need; what a group shares is less.
+    needed = classes.agg(F.sum(F.col("n") * (100 - percent) / 100 + 1)).first()[0] or 0
+    grouped = materialize(_dealt(grouped, int(needed), ROWS_IN_TASK))
+    met = grouped.count()
     star = _stars(grouped, 0.0, F.col("cls"), percent).union(_stars(grouped, 0.5, F.xxhash64("cls"), percent)).distinct()
-    links = materialize(_links(docs, classes, _possible(star, classes, percent), size, percent))
+    links = _links(docs, classes, _possible(star, classes, percent), met, size, percent)
     roots = components(links)
     # In groups that are not yet in one component each class meets a few others
     # in an order of the group's own, which connects most that belong together.
-    met = _partners(_open_groups(grouped, roots, classes, _folded()), percent)
-    links = materialize(links.union(_links(docs, classes, _possible(met, classes, percent), size, percent)))
+    near = _partners(_open_groups(grouped, roots, classes, _folded()), percent)
+    links = links.union(_links(docs, classes, _possible(near, classes, percent), met, size, percent))
     roots = components(links)
     # What is still apart is checked pair by pair.
-    left_open = materialize(_open_groups(grouped, roots, classes, BITS))
+    left_open = materialize(_dealt(_open_groups(grouped, roots, classes, BITS), met, ROWS_IN_TASK))
     l, r = left_open.alias("l"), left_open.alias("r")
     on = (
         (F.col("l.sig") == F.col("r.sig")) & (F.col("l.cls") < F.col("r.cls")) & (F.col("l.root") != F.col("r.root"))
         & _near("l.n", "r.n", percent) & _may_link("l", "r", percent)
     )
     cross = l.join(r, on).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")).distinct()
-    more = materialize(_links(docs, classes, cross, size, percent))
+    more = _links(docs, classes, cross, met, size, percent)
     every = more.union(roots.filter("node <> root").select(F.col("root").alias("a"), F.col("node").alias("b")))
     return components(every) if more.limit(1).count() else roots
 

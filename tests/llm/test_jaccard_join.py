@@ -154,3 +154,50 @@ def test_small_sets_have_signatures_where_they_can_link(n, more, percent, second
 
     assert J.links_apart(n, percent) and J.links_apart(n + more, percent)
     assert signatures(base) & signatures(other)
+
+
+def test_components_from_several_tasks(spark, monkeypatch):
+    """Long paths, stars and repeated edges, contracted in several tasks and then in rounds."""
+    monkeypatch.setattr("tallyframe.llm.components.EDGES_IN_TASK", 40)
+    rng = random.Random(9)
+    path, names = list(range(50)), list(range(-500, 500))
+    rng.shuffle(path)
+    edges = [*zip(path, path[1:]), *((400, k) for k in range(401, 440)), (7, 7), (600, 600)]
+    edges += [(-2 - k, -60 - k // 3) for k in range(40)] + edges[:20]
+    rng.shuffle(edges)
+    rng.shuffle(names)
+    edges = [(names[a % 1000], names[b % 1000]) if rng.random() < 0.5 else (names[b % 1000], names[a % 1000]) for a, b in edges]
+    root = {x: x for e in edges for x in e if e[0] != e[1]}
+    for _ in root:
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = [(r.node, r.root) for r in components(spark.createDataFrame(edges, "a bigint, b bigint").coalesce(2)).collect()]
+    assert sorted(got) == sorted(root.items())
+
+
+def test_small_tables_write_few_files(spark):
+    """However many shuffle partitions there are, files and tasks that write follow the rows."""
+    import os
+    from tallyframe.plans.lineage import scratch_dir
+
+    rng, rows = random.Random(3), []
+    for group in range(20):
+        words = prose(rng, 60).split()
+        for _ in range(3):
+            words[rng.randrange(60)] = f"w{rng.randrange(1000)}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], SCHEMA).repartition(4)
+    top = scratch_dir(spark).removeprefix("file:")
+    kept, old = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}, set(os.listdir(top))
+    before = {name: spark.conf.get(name) for name in kept}
+    try:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+        got = found(docs)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == Counter(jaccard_components(rows, 4, 85))
+    made = [sum(f.startswith("part-") for f in os.listdir(f"{top}/{t}")) for t in set(os.listdir(top)) - old if t.startswith("table-")]
+    assert len(made) > 8 and max(made) <= 2 * spark.sparkContext.defaultParallelism
