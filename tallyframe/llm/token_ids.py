@@ -23,11 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tallyframe.llm.perfect_hash import PerfectHash, fingerprint
 from tallyframe.llm.shared import make_folder, new_folder, open_path
-from tallyframe.llm.vec import U64, mix
+from tallyframe.llm.vec import U64, lowered, mix, string_bytes, words as word_spans
 
 END_ID = 1
 KEYS_PER_INDEX = 100_000
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Words longer than this are encoded each time; at most so many are remembered.
 KEPT_CHARS, KEPT_WORDS = 40, 1_000_000
 JOINED = 1000
@@ -85,34 +84,57 @@ def _encode_new(new: set[str], path: str) -> dict[str, bytes]:
     return made
 
 
-def encode(texts: list[str], path: str) -> list[bytes]:
+def _distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the number of each word in a row among them, and n + 1 offsets by text."""
+    data, offsets = string_bytes(texts)
+    starts, ends, words = word_spans(data, offsets)
+    size = ends - starts
+    turns = np.zeros(len(data) + 1, np.int8)
+    turns[starts] += 1
+    turns[ends] -= 1
+    letters = data[np.cumsum(turns[:-1], dtype=np.int8).view(bool)]
+    at = np.concatenate([[0], np.cumsum(size)])
+    # The tokenizer lower-cases all but its special tokens ("<|..."); where that
+    # is plain, it is done here and fewer words are new.
+    plain = np.ones(len(size), bool)
+    plain[np.searchsorted(at, np.flatnonzero((letters >= 128) | (letters == ord("<"))), side="right") - 1] = False
+    letters = np.where(np.repeat(plain, size), lowered(letters), letters)
+    made = pa.Array.from_buffers(pa.large_string(), len(size), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(letters)])
+    coded = made.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), words
+
+
+def encode(texts: list[str] | pa.Array, path: str) -> list[bytes]:
     """Ids of each text as raw bytes, without the end id.
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its words in a row, and a word met before is not encoded
     again. Letters and one closing mark are two pieces, so they too are looked
-    up apart.
+    up apart. Python sees each distinct word once; the ids of the words in a
+    row are put together as arrays.
     """
-    kept = _kept.setdefault(path, {})
-    # The tokenizer lower-cases all but its special tokens ("<|..."); where that
-    # is plain, it is done here and fewer words are new.
-    split = [WORD.findall(text.lower() if text.isascii() and "<|" not in text else text) for text in texts]
-    unknown = set().union(*split).difference(kept)
+    kept, kind = _kept.setdefault(path, {}), np.dtype(_tokenizer(path)[1])
+    found, nth, words = _distinct_words(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+    unknown = [word for word in found if word not in kept]
     parts = {w: (w[:-1], w[-1]) if w[-1] in ".,!?;:" and _PLAIN.fullmatch(w[:-1]) else (w,) for w in unknown}
-    pieces = {piece for found in parts.values() for piece in found}
+    pieces = {piece for own in parts.values() for piece in own}
     local = _encode_new({piece for piece in pieces if piece not in kept}, path)
-    for word, found in parts.items():
-        local[word] = b"".join([local[p] if p in local else kept[p] for p in found])
-    long = {word: ids for word, ids in local.items() if len(word) > KEPT_CHARS}
-    kept.update(local if not long else {w: ids for w, ids in local.items() if w not in long})
-    get = kept.__getitem__ if not long else lambda word: kept[word] if word in kept else long[word]
-    out = [b"".join(map(get, found)) for found in split]
+    for word, own in parts.items():
+        local[word] = b"".join([local[p] if p in local else kept[p] for p in own])
+    ids = [kept[word] if word in kept else local[word] for word in found]
+    kept.update({word: own for word, own in local.items() if len(word) <= KEPT_CHARS})
     if len(kept) > KEPT_WORDS:
         kept.clear()
-    return out
+    size = np.array([len(own) for own in ids], np.int64) // kind.itemsize
+    count = size[nth]
+    at = np.concatenate([[0], np.cumsum(count)])
+    row = np.frombuffer(b"".join(ids), kind)[np.repeat((np.cumsum(size) - size)[nth] - at[:-1], count) + np.arange(at[-1])]
+    bounds = (at[words] * kind.itemsize).tolist()
+    data = row.tobytes()
+    return [data[low:high] for low, high in zip(bounds, bounds[1:])]
 
 
-def _blocks(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _blocks(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``size`` bytes of text each."""
     step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
     for low in range(0, batch.num_rows, step):
@@ -132,8 +154,7 @@ def _write_shard(folder: str, path: str):
         try:
             for whole in batches:
                 for batch in _blocks(whole):
-                    texts = [t or "" for t in batch.column(1).to_pylist()]
-                    made = [ids + end for ids in encode(texts, path)]
+                    made = [ids + end for ids in encode(batch.column(1), path)]
                     counts = np.array([len(ids) // width for ids in made], np.int64)
                     if made and out is None:
                         out = system.open_output_stream(f"{root}/{name}")

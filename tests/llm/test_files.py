@@ -7,6 +7,7 @@ import zlib
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm.brute import payload_digest
@@ -117,6 +118,21 @@ def test_no_ids(no_docs):
     assert I.ids_of(no_docs).count() == 0
 
 
+def test_each_distinct_word_is_handled_once(monkeypatch):
+    """A batch's words go to Python once, however often they stand in it; ids are those of the whole texts."""
+    asked = []
+    real = I._distinct_words
+    monkeypatch.setattr(I, "_distinct_words", lambda texts: asked.append(real(texts)) or asked[-1])
+    texts = ["Haus haus, HAUS. <|endoftext|> a<b", None, "", " \n", "\u00c9t\u00e9 \u00e9t\u00e9 haus,", "it's x<|startoftext|>y 12 \u4e2d\u6587", "haus " * 500, "tail"]
+    got = I.encode(pa.array(texts, pa.string()).slice(0, 8), I.public_tokenizer())
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == [plain_ids(t)[:-1] for t in texts]
+    words = asked[0][0]
+    assert len(words) == len(set(words)) and words.count("haus") == 1 and "HAUS" not in words
+    part = pa.array(texts, pa.large_string()).slice(4, 3)
+    assert I.encode(part, I.public_tokenizer()) == got[4:7]
+    assert I.encode([], I.public_tokenizer()) == [] and I.encode([None, " "], I.public_tokenizer()) == [b"", b""]
+
+
 def test_words_are_encoded_as_in_their_text():
     rng = random.Random(8)
     letters = list("abcDEZ'sté.,!? \n\t 　İΣσß́̇<|>end123½②中文字😀‍٣") + ["<|endoftext|>", "'ll", "'re ", "ẛ̣", "<|ENDOFTEXT|>"]
